@@ -12,11 +12,11 @@
    in which more is its own than any link allows has no entry at all. Nothing is capped.
 3. Stars. Each document meets the centre of each of its lists: the document with the largest share of
    values it has in common with others. The sketch of the union (the k smallest of both) estimates the
-   overlap, what is not hopeless is verified on the full sets, and documents verified against one
-   centre need not meet one another. A group of thousands of near copies costs a few pairs a document.
-4. The rest. All pairs of a list whose documents have no common centre meet, if sizes and shares in
+   overlap, what is not hopeless is verified on the full sets, and documents of one component of these
+   links need not meet one another. A group of thousands of near copies costs a few pairs a document.
+4. The rest. All pairs of a list whose documents are in different components meet, if sizes and shares in
    common allow a link; they are estimated and verified in the same way.
-5. Components of all verified links: labels spread along links and through labels until none changes.
+5. Components of the components by these links: labels spread along links and through labels until none changes.
 
 Verification is on sets of 64-bit hashes of whole shingles, rebuilt from whole texts.
 
@@ -185,29 +185,37 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
 
     listed = _common(reps, ("key", "n", "alpha")).where(F.size("shared") >= F.col("alpha"))
     room = F.greatest(F.size("shared") - F.col("alpha") + 1, F.lit(0))
-    lists = listed.select("key", "n", F.size("shared").alias("c"), "r", F.explode(F.slice("shared", 1, room)).alias("x")).select("key", "n", "c", "r", F.col("x.value").alias("value"))
+    lists = listed.select("key", "n", F.size("shared").alias("c"), "r", F.posexplode(F.slice("shared", 1, room)).alias("i", "x"))
+    lists = lists.select("key", "n", "c", "r", (F.col("r") - F.col("c") + F.col("i") + 1).alias("place"), F.col("x.value").alias("value"))
     lists = written(lists, "lists")
 
     centre = lists.groupBy("value").agg(F.max(F.struct((F.col("c") / F.col("r")).alias("share"), (-F.col("key")).alias("key"))).alias("m"), F.count("*").alias("many")).where("many > 1")
     stars = lists.join(centre.select("value", (-F.col("m.key")).alias("b")), "value").select(F.col("key").alias("a"), "b").where("a <> b").distinct()
     first = written(verified(_hopeful(stars, reps, k, t), reps, words, percent), "stars")
 
-    # one centre for each document: the one with the smallest key, and that one's centre in turn
-    own = written(first.groupBy("a").agg(F.min("b").alias("b")), "centres")
-    own = own.join(own.select(F.col("a").alias("b"), F.col("b").alias("c")), "b", "left").select("a", F.coalesce("c", "b").alias("centre"))
-    placed = lists.join(own.withColumnRenamed("a", "key"), "key", "left").withColumn("centre", F.coalesce("centre", "key"))
+    own = components(first).select(F.col("key"), F.col("label").alias("centre"))
+    placed = lists.join(own, "key", "left").withColumn("centre", F.coalesce("centre", "key"))
     # lists whose documents all have one centre make no pairs; the others lose only pairs within a centre
     mixed = placed.groupBy("value").agg(F.min("centre").alias("low"), F.max("centre").alias("high")).where("low < high").select("value")
     placed = written(placed.join(mixed, "value", "left_semi"), "placed")
+    own_values = placed.groupBy("key").agg(F.transform(F.sort_array(F.collect_list(F.struct("place", "value"))), lambda v: v["value"]).alias("values"))  # at most k
+    placed = placed.join(own_values, "key")
     x, y = placed.alias("x"), placed.alias("y")
-    fits = F.least("x.c", "y.c") >= _pair_shares(F.col("x.n"), F.col("y.n"), k, t)
+    # the first value that linked sketches share has the others they must share behind it, in both; a pair meets there alone
+    need = _pair_shares(F.col("x.n"), F.col("y.n"), k, t)
+    fits = (F.least("x.c", "y.c") >= need) & (F.col("x.place") <= F.col("x.r") - need + 1) & (F.col("y.place") <= F.col("y.r") - need + 1)
     sizes = (F.least("x.n", "y.n") * 100 >= F.greatest("x.n", "y.n") * percent) & fits
-    rest = x.join(y, (F.col("x.value") == F.col("y.value")) & (F.col("x.key") < F.col("y.key")) & (F.col("x.centre") != F.col("y.centre")) & sizes)
+    meets = (F.col("x.value") == F.col("y.value")) & (F.col("x.key") < F.col("y.key")) & (F.col("x.centre") != F.col("y.centre")) & sizes
+    rest = x.join(y, meets & (F.get(F.array_intersect("x.values", "y.values"), F.lit(0)) == F.col("x.value")))
     rest = rest.select(F.col("y.key").alias("a"), F.col("x.key").alias("b")).distinct()
     second = verified(_hopeful(rest, reps, k, t), reps, words, percent)
 
-    labels = components(first.union(second))
-    out = base.drop("sketch").join(classes, "sig", "left").join(labels.withColumnRenamed("key", "rep"), "rep", "left")
+    # links between stars join their components; what lies within one is known already
+    ends = second.join(own.select(F.col("key").alias("a"), F.col("centre").alias("ca")), "a", "left").join(own.select(F.col("key").alias("b"), F.col("centre").alias("cb")), "b", "left")
+    over = components(ends.select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")))
+    labels = reps.select(F.col("key").alias("rep")).join(own.withColumnRenamed("key", "rep"), "rep", "left").withColumn("centre", F.coalesce("centre", "rep"))
+    labels = labels.join(over.withColumnRenamed("key", "centre"), "centre", "left").select("rep", F.coalesce("label", "centre").alias("label"))
+    out = base.drop("sketch").join(classes, "sig", "left").join(labels, "rep", "left")
     component = F.coalesce("label", "rep", "key")
     return out.select(F.col("key").alias(key), F.col("n").cast("long").alias("n_shingles"), component.alias("component_id"), F.coalesce(F.col("key") == component, F.lit(True)).alias("kept"))
 
