@@ -181,7 +181,8 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     probes = base.join(chosen, ["key", "sig"], "left_semi").withColumn("alpha", alpha_of(F.col("n"), PROBE, t))
     stay = _common(probes, ("key", "alpha")).where(F.size("shared") >= F.col("alpha")).select(F.col("key").alias(key))
     reps = written(sketches(docs.join(stay, key, "left_semi"), key, text, words, k, with_body=True).withColumn("alpha", alpha_of(F.col("n"), k, t)), "candidates")
-    reps = reps.join(chosen, ["key", "sig"], "left_semi") if docs.count() > base.select("key").distinct().count() else reps
+    if base.count() > base.select("key").distinct().count():  # rows that share a key: one of them stands in the lists
+        reps = written(reps.join(chosen, ["key", "sig"], "left_semi").dropDuplicates(["key"]), "candidates")
 
     listed = _common(reps, ("key", "n", "alpha")).where(F.size("shared") >= F.col("alpha"))
     room = F.greatest(F.size("shared") - F.col("alpha") + 1, F.lit(0))
