@@ -28,6 +28,8 @@ import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructField, StructType
 
+from .common import small_batches
+
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 #: Characters past its end on which a piece depends: two, as in 're.
 LOOK = 2
@@ -153,7 +155,7 @@ def bpe_encode(df: DataFrame, text: str = "text", out: str = "ids", path: str |
                 values = pa.array(np.frombuffer(flat, np.int32) if len(flat) else np.zeros(0, np.int32))
                 yield _with(batch.slice(a, b - a), out, pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values))
 
-    return df.mapInArrow(run, StructType([*df.schema.fields, StructField(out, ArrayType(IntegerType()))]))
+    return small_batches(df).mapInArrow(run, StructType([*df.schema.fields, StructField(out, ArrayType(IntegerType()))]))
 
 
 def bpe_decode(df: DataFrame, ids: str = "ids", out: str = "decoded", path: str | None = None, pattern: str | None = None) -> DataFrame:
@@ -171,4 +173,4 @@ def bpe_decode(df: DataFrame, ids: str = "ids", out: str = "decoded", path: str
                 data = [None if x is None else code.decode(x) for x in column.slice(a, b - a).to_pylist()]
                 yield _with(batch.slice(a, b - a), out, pa.array(data, pa.binary()))
 
-    return df.mapInArrow(run, StructType([*df.schema.fields, StructField(out, BinaryType())]))
+    return small_batches(df).mapInArrow(run, StructType([*df.schema.fields, StructField(out, BinaryType())]))

@@ -41,6 +41,14 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def small_batches(df: DataFrame, rows: int = 1000) -> DataFrame:
+    """Bounds what a Python worker holds of a table with long texts: at most `rows` rows come to it at once, by a session setting."""
+    key, conf = "spark.sql.execution.arrow.maxRecordsPerBatch", df.sparkSession.conf
+    if not 0 < int(conf.get(key)) <= rows:
+        conf.set(key, str(rows))
+    return df
+
+
 def free_name(df: DataFrame, stem: str) -> str:
     """A column name that df does not have yet."""
     taken, name = {c.lower() for c in df.columns}, stem

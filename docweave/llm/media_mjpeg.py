@@ -23,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.types import StructType, _parse_datatype_string
 
+from .common import small_batches
+
 #: Blocks of a frame that pack_bytes writes: 16 across, 12 down, so 192 samples.
 COLS, ROWS = 16, 12
 FRAME = COLS * ROWS
@@ -487,7 +489,7 @@ def pack_avi(df: DataFrame, payload: str, out: str = "media") -> DataFrame:
 
     if out in df.columns:
         raise ValueError(f"there is a column {out} already")
-    return df.mapInArrow(run, StructType([*df.schema.fields]).add(out, "binary"))
+    return small_batches(df).mapInArrow(run, StructType([*df.schema.fields]).add(out, "binary"))
 
 
 CLIPS = pa.list_(
@@ -518,7 +520,7 @@ def read_avi(df: DataFrame, media: str = "media") -> DataFrame:
                     },
                 )
 
-    return df.mapInArrow(run, StructType(df.schema.fields + new.fields))
+    return small_batches(df).mapInArrow(run, StructType(df.schema.fields + new.fields))
 
 
 def clip_rows(df: DataFrame, media: str = "media") -> DataFrame:

@@ -36,7 +36,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import small_batches, written
 
 WORDS = 5
 K = 256
@@ -102,7 +102,7 @@ def sketches(docs: DataFrame, key: str = "doc_id", text: str = "text", words: in
                 yield pa.RecordBatch.from_pydict(columns | ({"body": pa.array(bodies, pa.binary())} if with_body else {}))
 
     schema = "key long, n int, sig binary, sketch array<long>" + (", body binary" if with_body else "")
-    return docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text")).mapInArrow(run, schema)
+    return small_batches(docs).select(F.col(key).cast("long").alias("key"), F.col(text).alias("text")).mapInArrow(run, schema)
 
 
 def least_shared(k: int, threshold: float) -> int:
@@ -152,7 +152,7 @@ def verified(pairs: DataFrame, reps: DataFrame, words: int, percent: int) -> Dat
                     found.append((a.as_py(), b.as_py()))
             yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in found], pa.int64()) for i in (0, 1)], names=["a", "b"])
 
-    return met.mapInArrow(run, "a long, b long")
+    return small_batches(met).mapInArrow(run, "a long, b long")
 
 
 def components(links: DataFrame) -> DataFrame:

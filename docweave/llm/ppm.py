@@ -28,6 +28,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from .common import small_batches
 from .ranking import uniform_hash
 
 ORDER = 3
@@ -37,7 +38,8 @@ MOST_CONTEXTS = 60_000
 MOST_LANGUAGES = 500
 #: What stands before a text: its first bytes have a context too.
 BEFORE = b"   "
-SLICE = 2 << 20
+#: Bytes whose code lengths are worked out at once; longer texts go by parts.
+SLICE = 1 << 19
 
 
 @dataclass
@@ -90,7 +92,7 @@ def _counts(batches):
 def train(docs: DataFrame, lang: str = "lang", key: str = "doc_id", text: str = "text", seed: int = 41, per_language: int = SAMPLE_DOCS, most_bytes: int = SAMPLE_BYTES, most_contexts: int = MOST_CONTEXTS) -> Model | None:
     """A model of the languages in docs, or None if there is nothing to learn from. Its bounded counts come to the driver."""
     rows = sample(docs, lang, key, text, seed, per_language, most_bytes)
-    counts = rows.mapInArrow(_counts, "lang string, order int, gram long, n long").groupBy("lang", "order", "gram").agg(F.sum("n").alias("n"))
+    counts = small_batches(rows).mapInArrow(_counts, "lang string, order int, gram long, n long").groupBy("lang", "order", "gram").agg(F.sum("n").alias("n"))
     contexts = counts.groupBy("order", F.shiftright("gram", 8).alias("context")).agg(F.sum("n").alias("n_all"))
     best = Window.partitionBy("order").orderBy(F.desc("n_all"), "context")
     kept = contexts.withColumn("_r", F.row_number().over(best)).where(F.col("_r") <= most_contexts).select("order", "context")
@@ -151,11 +153,25 @@ def _lookup(model: Model, context: np.ndarray, byte: np.ndarray, order: int) ->
 
 def code_lengths(model: Model, texts: list[bytes]) -> np.ndarray:
     """Bits of each text by each language."""
+    pad, out, run, held = len(BEFORE), np.zeros((len(texts), len(model.languages))), [], 0
+    for i, t in enumerate(texts):
+        for at in range(0, len(t), SLICE):
+            run.append((i, (BEFORE + t[:SLICE]) if at == 0 else t[at - pad : at + SLICE]))
+            held += len(run[-1][1])
+            if held >= SLICE:
+                _add_lengths(model, run, out)
+                run, held = [], 0
+    _add_lengths(model, run, out)
+    return out
+
+
+def _add_lengths(model: Model, parts: list[tuple[int, bytes]], out: np.ndarray) -> None:
+    """Adds the bits of parts of texts, whose first bytes are context only, to their texts' rows."""
+    if not parts:
+        return
     pad = len(BEFORE)
-    b = np.frombuffer(b"".join(BEFORE + t for t in texts), np.uint8).astype(np.int32)
-    if not len(b):
-        return np.zeros((0, len(model.languages)))
-    sizes = np.array([len(t) + pad for t in texts])
+    b = np.frombuffer(b"".join(p for _, p in parts), np.uint8).astype(np.int32)
+    sizes = np.array([len(p) for _, p in parts])
     starts = np.cumsum(sizes) - sizes
     context = np.zeros(len(b), np.int32)
     for back in range(1, ORDER + 1):
@@ -163,7 +179,7 @@ def code_lengths(model: Model, texts: list[bytes]) -> np.ndarray:
     bits = _lookup(model, context, b, ORDER)
     for i in range(pad):
         bits[starts + i] = 0
-    return np.add.reduceat(bits, starts, dtype=np.float64)
+    np.add.at(out, [i for i, _ in parts], np.add.reduceat(bits, starts, dtype=np.float64))
 
 
 def has_letter(text: Column) -> Column:
@@ -186,7 +202,7 @@ def predict(df: DataFrame, model: Model | None, text: str = "text") -> DataFrame
             names, scores = ["und"] * batch.num_rows, [0.0] * batch.num_rows
             todo, held = [], 0
             for i in range(batch.num_rows + 1):
-                if todo and (i == batch.num_rows or held > SLICE):
+                if todo and (i == batch.num_rows or held > 2 * SLICE):
                     bits = code_lengths(m, [t for _, t in todo])
                     best = bits.argmin(1)
                     share = 1 / np.exp2(np.minimum(bits[np.arange(len(bits)), best][:, None] - bits, 0)).sum(1)
@@ -199,7 +215,7 @@ def predict(df: DataFrame, model: Model | None, text: str = "text") -> DataFrame
                     held += len(data)
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(names, pa.string()), pa.array(scores, pa.float64())], names=[*batch.schema.names[:-1], "lang_pred", "score"])
 
-    return flagged.mapInArrow(run, StructType([*df.schema.fields]).add("lang_pred", "string").add("score", "double"))
+    return small_batches(flagged).mapInArrow(run, StructType([*df.schema.fields]).add("lang_pred", "string").add("score", "double"))
 
 
 def pack(model: Model) -> tuple:

@@ -62,11 +62,13 @@ def test_edges(spark):
         ppm.predict(df.withColumnRenamed("lang", "score"), model)
 
 
-def test_a_long_text_in_slices(spark, monkeypatch):
+def test_a_long_text_in_parts(spark, monkeypatch):
     df = spark.createDataFrame([(i, "the cat " * (i * 500), "en") for i in range(1, 9)] + [(20, "el gato " * 10, "es")], "doc_id long, text string, lang string")
     model = ppm.train(df)
     whole = ppm.code_lengths(model, [b"the cat " * 4000])
     assert np.argmin(whole) == model.languages.index("en")
+    monkeypatch.setattr(ppm, "SLICE", 7)
+    assert ppm.code_lengths(model, [b"the cat " * 4000, b"", b"el gato"])[0] == pytest.approx(whole[0])
 
 
 def test_query_on_held_out_documents(spark, sf):
