@@ -15,8 +15,7 @@ from docweave.llm.common import written
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which no language is found (no text, or no letter in it) go."""
-    judged = ppm.predict(docs, ppm.train(docs))
-    return judged.where("lang_pred <> 'und'").select(*docs.columns)
+    return ppm.known_languages(docs, ppm.train(docs))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,12 +25,12 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A row for each copy that the mix takes, sorted by training position; documents it takes nothing of go."""
-    return mixing.curriculum(mixing.mix(docs)).select(*docs.columns)
+    return mixing.mixture(docs)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each row, and whether they decode to its text."""
-    read = bpe.bpe_decode(bpe.bpe_encode(docs))
+    read = bpe.bpe_decode(bpe.bpe_encode(docs.select("doc_id", "lang", "source", "text")))
     whole = F.coalesce(F.encode("text", "utf-8"), F.lit(b"")) == F.col("decoded")
     return read.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", whole.alias("round_trip"))
 

@@ -135,10 +135,9 @@ def _with(batch: pa.RecordBatch, name: str, array_: pa.Array) -> pa.RecordBatch:
 
 
 def bpe_encode(df: DataFrame, text: str = "text", out: str = "ids", path: str | None = None, pattern: str | None = None) -> DataFrame:
-    """df with the column `out`: array<int> of the ids of `text`. No rows move between partitions."""
+    """df with the column `out`, which replaces one of that name: array<int> of the ids of `text`. No rows move between partitions."""
     known = default_vocabulary() if path is None else (path, pattern)
-    if out in df.columns:
-        raise ValueError(f"there is a column {out} already")
+    df = df.drop(out)
 
     def run(batches):
         code = coder(*known)
@@ -159,10 +158,9 @@ def bpe_encode(df: DataFrame, text: str = "text", out: str = "ids", path: str |
 
 
 def bpe_decode(df: DataFrame, ids: str = "ids", out: str = "decoded", path: str | None = None, pattern: str | None = None) -> DataFrame:
-    """df with the column `out`: the bytes of the ids in the column `ids`."""
+    """df with the column `out`, which replaces one of that name: the bytes of the ids in the column `ids`."""
     known = default_vocabulary() if path is None else (path, pattern)
-    if out in df.columns:
-        raise ValueError(f"there is a column {out} already")
+    df = df.drop(out)
 
     def run(batches):
         code = coder(*known)

@@ -49,12 +49,34 @@ def small_batches(df: DataFrame, rows: int = 1000) -> DataFrame:
     return df
 
 
-def free_name(df: DataFrame, stem: str) -> str:
-    """A column name that df does not have yet."""
-    taken, name = {c.lower() for c in df.columns}, stem
-    while name.lower() in taken:
-        name += "_"
-    return name
+class Sheltered:
+    """Columns of a table whose names an operator uses for columns of its own: `df` has them under other names,
+    and `restored` brings them back. A column named like a result gives way to it, unless it is asked for."""
+
+    def __init__(self, df: DataFrame, own: set[str], used: set[str]):
+        """own: names that the operator makes, for results or by the way; used: those of df that it reads."""
+        low, read = {c.lower() for c in own}, {c.lower() for c in used}
+        taken = {c.lower() for c in df.columns} | low
+        self.names, renamed = {}, {}
+        for c in df.columns:
+            name = c
+            if c.lower() in low and c.lower() not in read:
+                while name.lower() in taken:
+                    name += "_"
+                taken.add(name.lower())
+                renamed[c] = name
+            self.names[c] = name
+        self.df = df.withColumnsRenamed(renamed) if renamed else df
+
+    def restored(self, df: DataFrame, results: list[str] | tuple[str, ...] = ()) -> DataFrame:
+        """The table's own columns, those named like a result left out, and then the results."""
+        low = {c.lower() for c in results}
+        kept = [quoted(new).alias(old) for old, new in self.names.items() if old.lower() not in low]
+        return df.select(*kept, *[quoted(c) for c in results])
+
+
+def quoted(name: str) -> Column:
+    return F.col("`" + name.replace("`", "``") + "`")
 
 
 def word_count(text: Column) -> Column:

@@ -478,7 +478,10 @@ def _append(batch: pa.RecordBatch, columns: dict[str, pa.Array]) -> pa.RecordBat
 
 
 def pack_avi(df: DataFrame, payload: str, out: str = "media") -> DataFrame:
-    """df with `out`: the AVI file that holds the column `payload` (binary or string; null counts as empty)."""
+    """df with `out`: the AVI file that holds the column `payload` (binary or string; null counts as empty).
+    It replaces a column of that name."""
+
+    df = df.drop(out)
 
     def run(batches):
         for batch in batches:
@@ -487,8 +490,6 @@ def pack_avi(df: DataFrame, payload: str, out: str = "media") -> DataFrame:
                 packed = pack_bytes([x or b"" for x in column.slice(a, b - a).to_pylist()])
                 yield _append(batch.slice(a, b - a), {out: pa.array(packed, pa.binary())})
 
-    if out in df.columns:
-        raise ValueError(f"there is a column {out} already")
     return small_batches(df).mapInArrow(run, StructType([*df.schema.fields]).add(out, "binary"))
 
 
@@ -500,10 +501,9 @@ VIDEO_COLUMNS = "frames int, samples binary, clips array<struct<clip:int,first_f
 
 def read_avi(df: DataFrame, media: str = "media") -> DataFrame:
     """df with what its column of AVI files holds: `frames` (number), `samples` (of all frames' DC images, row by row),
-    `clips` (timed shots) and `error` (null where all is well)."""
+    `clips` (timed shots) and `error` (null where all is well). Columns of these names are replaced."""
     new: StructType = _parse_datatype_string(VIDEO_COLUMNS)
-    if clash := {f.name for f in new} & set(df.columns):
-        raise ValueError(f"there are columns {sorted(clash)} already")
+    df = df.drop(*[f.name for f in new])
 
     def run(batches):
         for batch in batches:

@@ -36,7 +36,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import small_batches, written
+from .common import Sheltered, quoted, small_batches, written
 
 WORDS = 5
 K = 256
@@ -240,8 +240,10 @@ def _pair_shares(a: Column, b: Column, k: int, t: float) -> Column:
 def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, percent: int = 80, k: int = K) -> DataFrame:
     """docs without the documents of a group other than the one with the smallest key. Of rows with one key one stays;
     rows with a null key are kept."""
+    held = Sheltered(docs, {"_nth"}, {key, text})
+    docs = held.df
     kept = near_duplicates(docs.where(F.col(key).isNotNull()), key, text, words, percent, k).where("kept").select(key).distinct()
-    known = docs.join(kept, key, "left_semi").select(*docs.columns)
-    order = Window.partitionBy(key).orderBy(F.xxhash64(text), F.xxhash64(*[c for c, kind in docs.dtypes if not kind.startswith("map")]))
+    known = docs.join(kept, key, "left_semi").select(*[quoted(c) for c in docs.columns])
+    order = Window.partitionBy(key).orderBy(F.xxhash64(text), F.xxhash64(*[quoted(c) for c, kind in docs.dtypes if "map<" not in kind and kind != "variant"]))
     one = known.withColumn("_nth", F.row_number().over(order)).where("_nth = 1").drop("_nth")
-    return one.unionByName(docs.where(F.col(key).isNull()))
+    return held.restored(one.unionByName(docs.where(F.col(key).isNull())))

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from .common import small_batches
+from .common import Sheltered, small_batches
 from .ranking import uniform_hash
 
 ORDER = 3
@@ -187,11 +187,11 @@ def has_letter(text: Column) -> Column:
 
 
 def predict(df: DataFrame, model: Model | None, text: str = "text") -> DataFrame:
-    """df with lang_pred and score. No rows move."""
-    if clash := {"lang_pred", "score", "_letter"} & set(df.columns):
-        raise ValueError(f"there are columns {sorted(clash)} already")
+    """df with lang_pred and score; columns of these names are replaced. No rows move."""
+    held = Sheltered(df, {"lang_pred", "score", "_letter"}, {text})
+    df = held.df
     if model is None:
-        return df.withColumns({"lang_pred": F.lit("und"), "score": F.lit(0.0)})
+        return held.restored(df.withColumns({"lang_pred": F.lit("und"), "score": F.lit(0.0)}), ("lang_pred", "score"))
     shared = df.sparkSession.sparkContext.broadcast(pack(model))
     flagged = df.withColumn("_letter", has_letter(F.col(text)))
 
@@ -215,7 +215,14 @@ def predict(df: DataFrame, model: Model | None, text: str = "text") -> DataFrame
                     held += len(data)
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(names, pa.string()), pa.array(scores, pa.float64())], names=[*batch.schema.names[:-1], "lang_pred", "score"])
 
-    return small_batches(flagged).mapInArrow(run, StructType([*df.schema.fields]).add("lang_pred", "string").add("score", "double"))
+    judged = small_batches(flagged).mapInArrow(run, StructType([*df.schema.fields]).add("lang_pred", "string").add("score", "double"))
+    return held.restored(judged, ("lang_pred", "score"))
+
+
+def known_languages(df: DataFrame, model: Model | None, text: str = "text") -> DataFrame:
+    """The rows of df in which a language is found, with df's columns alone."""
+    held = Sheltered(df, {"lang_pred", "score"}, {text})
+    return held.restored(predict(held.df, model, text).where("lang_pred <> 'und'"))
 
 
 def pack(model: Model) -> tuple:

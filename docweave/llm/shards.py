@@ -17,6 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import Sheltered, quoted
 from .ranking import bucket_number, bucket_of, bucket_starts, uniform_hash
 
 #: Bytes of a row besides its text.
@@ -28,15 +29,14 @@ def row_size(text: Column) -> Column:
 
 
 def assign_shards(df: DataFrame, shards: int, source: str = "source", key: str = "doc_id", seed: int = 29) -> DataFrame:
-    """df with shard (from 0) and slot (place within the shard, from 0, without gaps)."""
-    if clash := {"shard", "slot"} & set(df.columns):
-        raise ValueError(f"there are columns {sorted(clash)} already")
+    """df with shard (from 0) and slot (place within the shard, from 0, without gaps). Columns of these names are replaced."""
+    held = Sheltered(df, {"shard", "slot", "_source", "_hash", "_tie", "_bucket", "rows_start", "rows_all", "_rank", "_fraction", "_stretch", "before_start", "before_all", "_place"}, {source, key})
     buckets = bucket_number(df.count())
-    ties = [F.xxhash64(c) for c, kind in df.dtypes if c not in (source, key) and not kind.startswith("map")]
-    rows = df.withColumns({"_source": F.coalesce(F.concat(F.lit("="), F.col(source)), F.lit("")), "_hash": uniform_hash(seed, key)})
+    ties = [quoted(c) for c, kind in held.df.dtypes if c not in (source, key) and "map<" not in kind and kind != "variant"]
+    rows = held.df.withColumns({"_source": F.coalesce(F.concat(F.lit("="), F.col(source)), F.lit("")), "_hash": uniform_hash(seed, key), "_tie": F.xxhash64(*ties) if ties else F.lit(0)})
     rows = rows.withColumn("_bucket", bucket_of(F.col("_hash"), buckets).cast("int"))
     starts = bucket_starts(rows, ["_source"], "_bucket", {"rows": F.count("*")})
-    within = Window.partitionBy("_source", "_bucket").orderBy("_hash", key, *ties)
+    within = Window.partitionBy("_source", "_bucket").orderBy("_hash", key, "_tie")
     ranked = rows.join(starts, ["_source", "_bucket"]).withColumn("_rank", F.col("rows_start") + F.row_number().over(within))
     ranked = ranked.withColumn("_fraction", (F.col("_rank") - 0.5) / F.col("rows_all"))
     ranked = ranked.withColumn("_stretch", F.least(F.floor(F.col("_fraction") * buckets), F.lit(buckets - 1)).cast("int"))
@@ -47,7 +47,7 @@ def assign_shards(df: DataFrame, shards: int, source: str = "source", key: str =
     # shard s holds places ceil(s n / shards) up to the next shard's first
     shard = F.expr(f"(_place * {shards}) div before_all")
     first = F.expr(f"(({shards} - 1) + ((_place * {shards}) div before_all) * before_all) div {shards}")
-    return placed.select(*df.columns, shard.cast("int").alias("shard"), (F.col("_place") - first).alias("slot"))
+    return held.restored(placed.withColumns({"shard": shard.cast("int"), "slot": F.col("_place") - first}), ("shard", "slot"))
 
 
 def write_shards(assigned: DataFrame, path: str) -> None:

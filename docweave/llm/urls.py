@@ -180,12 +180,10 @@ def opened(path: str, shards: tuple, seed: int) -> Rules:
 
 
 def judge_urls(df: DataFrame, path: str, url: str = "url", default: str = "allow", seed: int = 0) -> DataFrame:
-    """df with host, path, rule (null where none fits) and verdict by the rules built at `path`. No rows move.
+    """df with host, path, rule (null where none fits) and verdict by the rules built at `path`; columns of these names are replaced. No rows move.
 
     To the driver comes one row of the manifest for each shard of rules."""
-    if clash := {"host", "path", "rule", "verdict"} & set(df.columns):
-        raise ValueError(f"there are columns {sorted(clash)} already")
-    spark = df.sparkSession
+    spark, df = df.sparkSession, df.drop("host", "path", "rule", "verdict")
     rows = spark.read.json(f"{path}/manifest", schema="name string, n long, low string, high string, lengths array<long>").collect()
     shards = tuple(sorted((r.name, r.n, int(r.low), int(r.high), tuple(r.lengths)) for r in rows))
     with_parts = df.withColumns({"host": host_of(F.col(url)), "path": path_of(F.col(url))})

@@ -97,8 +97,8 @@ def test_damaged_null_and_empty(spark):
     assert got[1].frames == 1 and got[1].error is None and got[1].samples.startswith(b"hello")
     assert all(got[i].frames == 0 and got[i].error for i in (2, 3, 4, 5))
     assert m.clip_rows(df).where("id = 1").count() == 1
-    with pytest.raises(ValueError):
-        m.read_avi(df.withColumnRenamed("id", "clips"))
+    assert m.read_avi(df.withColumnRenamed("id", "clips")).columns == ["media", "frames", "samples", "clips", "error"]
+    assert m.pack_avi(df, "media", "id").columns == ["media", "id"]
     assert m.read_avi(df.where("false")).count() == 0
 
 

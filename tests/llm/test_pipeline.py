@@ -12,8 +12,14 @@ def test_stages(spark, sf):
     assert [name for name, _ in corpus_pipeline.STAGES] == ["language_id", "near_dedup", "source_mixing", "byte_bpe"] and corpus_pipeline.ORACLE_SQL is None
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     extra = docs.limit(1).withColumns({"doc_id": F.lit(-5).cast("long"), "text": F.lit("12 34 !?")})
-    first = corpus_pipeline.language_id(spark, docs.unionByName(extra), sf)
-    assert first.columns == docs.columns and first.count() == docs.count()
+    odd = docs.unionByName(extra).selectExpr("*", "doc_id AS score", "'t' AS target", "array(doc_id) AS ids", "1 AS _hash")
+    first = corpus_pipeline.language_id(spark, odd, sf)
+    assert first.columns == odd.columns and first.count() == docs.count() and first.where("score <> doc_id").count() == 0
+    third = corpus_pipeline.source_mixing(spark, first, sf)
+    assert third.columns == odd.columns and third.where("target = 't' AND ids[0] = doc_id").count() == third.count() > 0
+    assert corpus_pipeline.tokens(spark, third.limit(5), sf).count() == 5
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs.where("false"), sf).count() == 0
     second = corpus_pipeline.near_dedup(spark, docs, sf)
     assert second.columns == docs.columns and 0 < second.count() < docs.count()
     third = corpus_pipeline.source_mixing(spark, second, sf)

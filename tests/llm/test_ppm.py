@@ -58,8 +58,10 @@ def test_edges(spark):
     assert ppm.train(df.where("lang is null")) is None
     assert {r.lang_pred for r in ppm.predict(df, None).collect()} == {"und"}
     assert ppm.predict(df.where("false"), model).count() == 0
-    with pytest.raises(ValueError):
-        ppm.predict(df.withColumnRenamed("lang", "score"), model)
+    clash = df.selectExpr("*", "'mine' AS score", "2 AS _letter")
+    got = ppm.predict(clash, model)
+    assert got.columns == ["doc_id", "text", "lang", "_letter", "lang_pred", "score"] and got.where("score BETWEEN 0 AND 1 AND _letter = 2").count() == 7
+    assert {r.score for r in ppm.known_languages(clash, model).collect()} == {"mine"}
 
 
 def test_a_long_text_in_parts(spark, monkeypatch):

@@ -31,8 +31,9 @@ def test_rows_are_shuffled_and_reruns_agree(spark):
 def test_repeated_rows_and_clashes(spark):
     df = spark.createDataFrame([(1, "x")] * 9 + [(None, None)], "doc_id long, source string")
     assert sorted((r.shard, r.slot) for r in shards.assign_shards(df, 5).collect()) == [(s, i) for s in range(5) for i in range(2)]
-    with pytest.raises(ValueError):
-        shards.assign_shards(df.withColumnRenamed("doc_id", "slot"), 5)
+    clash = spark.range(8).selectExpr("id doc_id", "'s' source", "id + 100 slot", "map(1, 2) _rank", "'x' `a.b`")
+    got = shards.assign_shards(clash, 2)
+    assert got.columns == ["doc_id", "source", "_rank", "a.b", "shard", "slot"] and sorted(r.slot for r in got.collect()) == [0, 0, 1, 1, 2, 2, 3, 3]
 
 
 def test_written(spark):

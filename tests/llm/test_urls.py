@@ -56,7 +56,7 @@ def test_no_rules_and_no_rows(spark):
     check(spark, ["http://a.com/", None], [(None, "/", "block")])
     path = urls.build_rules(spark.createDataFrame([("com", None, "block"), ("com", "", "allow")], "host string, path string, verdict string"), shared_path(spark, "rules-test"))
     assert urls.judge_urls(spark.createDataFrame([], "page_id long, url string"), path).count() == 0
-    assert urls.judge_urls(spark.createDataFrame([("http://x.com",)], "url string"), path).collect()[0].verdict == "block"
+    assert urls.judge_urls(spark.createDataFrame([("http://x.com", 5)], "url string, rule int"), path).collect()[0].asDict() == {"url": "http://x.com", "host": "x.com", "path": "", "rule": "com", "verdict": "block"}
 
 
 def test_query(spark, sf):
