@@ -153,6 +153,7 @@ def bpe_encode(df: DataFrame, text: str = "text", out: str = "ids", path: str |
                     ends.append(len(flat))
                 values = pa.array(np.frombuffer(flat, np.int32) if len(flat) else np.zeros(0, np.int32))
                 yield _with(batch.slice(a, b - a), out, pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values))
+        code.clear()  # a worker that goes on to other work remembers no pieces
 
     return small_batches(df).mapInArrow(run, StructType([*df.schema.fields, StructField(out, ArrayType(IntegerType()))]))
 

@@ -19,7 +19,6 @@ nothing was learned. Rows with a null language are not learned from. Repeated ro
 
 from __future__ import annotations
 
-import uuid
 from dataclasses import dataclass
 
 import numpy as np
@@ -196,7 +195,7 @@ def predict(df: DataFrame, model: Model | None, text: str = "text") -> DataFrame
     flagged = df.withColumn("_letter", has_letter(F.col(text)))
 
     def run(batches):
-        m = unpacked(shared)
+        m = unpacked(shared.value)  # for this task; a worker that goes on to other work holds no model
         for batch in batches:
             column, letter = batch.column(batch.schema.get_field_index(text)), batch.column(batch.num_columns - 1).to_pylist()
             names, scores = ["und"] * batch.num_rows, [0.0] * batch.num_rows
@@ -229,23 +228,15 @@ def pack(model: Model) -> tuple:
     """Of the lookup arrays only the used places: what is broadcast is in proportion to the model, at most
     most_contexts contexts of each length."""
     sparse = lambda a: (len(a), np.flatnonzero(a), a[a != 0])
-    return model.languages, [sparse(a) for a in model.ids], model.escapes, [sparse(a) for a in model.pairs], model.costs, uuid.uuid4().hex
+    return model.languages, [sparse(a) for a in model.ids], model.escapes, [sparse(a) for a in model.pairs], model.costs
 
 
-#: A worker's own copy of the model it used last.
-_UNPACKED: dict[str, Model] = {}
+def unpacked(packed: tuple) -> Model:
+    languages, ids, escapes, pairs, costs = packed
 
+    def dense(part):
+        out = np.zeros(part[0], np.int32)
+        out[part[1]] = part[2]
+        return out
 
-def unpacked(shared) -> Model:
-    key = shared.value[-1]
-    if key not in _UNPACKED:
-        languages, ids, escapes, pairs, costs, _ = shared.value
-
-        def dense(part):
-            out = np.zeros(part[0], np.int32)
-            out[part[1]] = part[2]
-            return out
-
-        _UNPACKED.clear()
-        _UNPACKED[key] = Model(languages, [dense(x) for x in ids], escapes, [dense(x) for x in pairs], costs)
-    return _UNPACKED[key]
+    return Model(languages, [dense(x) for x in ids], escapes, [dense(x) for x in pairs], costs)
