@@ -1,7 +1,8 @@
 """Near-duplicate documents by bottom-k sketches from one hash function.
 
 1. Each text becomes the sorted set of 64-bit hashes of its word shingles. Texts with equal sets are one
-   class, and only its smallest doc_id goes on. A first sketch, the PROBE smallest values, finds documents
+   class, whatever their doc_ids; a class is one node of what follows, by a number, and one row's text
+   stands for it. A first sketch, the PROBE smallest values, finds documents
    most of whose values no other document retains: they can have no link, and go. Those that stay get
    the full sketch, the k smallest values.
 2. Inverted lists. A pair at the threshold shares at least `alpha` retained values: all but a share of
@@ -17,12 +18,15 @@
 4. The rest. All pairs of a list whose documents are in different components meet, if sizes and shares in
    common allow a link; they are estimated and verified in the same way.
 5. Components of the components by these links: labels spread along links and through labels until none changes.
+   Where rows share a doc_id, the groups that an id has rows in are joined in the same way.
 
 Verification is on sets of 64-bit hashes of whole shingles, rebuilt from whole texts.
 
 Defined results: a text without words has the empty set, is linked with nothing and is its own
-component; a text of fewer words than a shingle is one shingle; rows that share a doc_id are one node of
-the graph, and each keeps its own row; an empty table gives no rows.
+component unless its doc_id has rows with words; a text of fewer words than a shingle is one shingle; rows
+that share a doc_id have one component_id, with the links of all their texts, and each keeps its own row. A
+null is not an id that rows share: rows with a null doc_id link others like any row, their component_id is
+the smallest doc_id reachable or else null, and they are kept. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -35,6 +39,7 @@ import xxhash
 import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from .common import Sheltered, quoted, small_batches, written
 
@@ -78,9 +83,9 @@ def _signed(values: np.ndarray) -> np.ndarray:
     return (values ^ np.uint64(1 << 63)).view(np.int64)
 
 
-def sketches(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, k: int = K, with_body: bool = False) -> DataFrame:
+def sketches(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, k: int = K, with_body: bool = False, also: tuple = ()) -> DataFrame:
     """key, n (size of the set), sig (128-bit digest of the set; null if empty), sketch (k smallest values, ascending);
-    with_body: also the text's UTF-8 bytes, lower-cased and compressed."""
+    with_body: also the text's UTF-8 bytes, lower-cased and compressed; also: columns of docs that go with each row."""
 
     def run(batches):
         hashes, squeeze = _Hashes(), zstandard.ZstdCompressor(level=3)
@@ -99,10 +104,12 @@ def sketches(docs: DataFrame, key: str = "doc_id", text: str = "text", words: in
                         bodies.append(squeeze.compress(data))
                 sketch = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(flat)))
                 columns = {"key": batch.column(0), "n": pa.array(ns, pa.int32()), "sig": pa.array(sigs, pa.binary()), "sketch": sketch}
-                yield pa.RecordBatch.from_pydict(columns | ({"body": pa.array(bodies, pa.binary())} if with_body else {}))
+                columns |= {"body": pa.array(bodies, pa.binary())} if with_body else {}
+                yield pa.RecordBatch.from_pydict(columns | {c: batch.column(2 + i) for i, c in enumerate(also)})
 
-    schema = "key long, n int, sig binary, sketch array<long>" + (", body binary" if with_body else "")
-    return small_batches(docs).select(F.col(key).cast("long").alias("key"), F.col(text).alias("text")).mapInArrow(run, schema)
+    rows = small_batches(docs).select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"), *also)
+    schema = StructType.fromDDL("key long, n int, sig binary, sketch array<long>" + (", body binary" if with_body else ""))
+    return rows.mapInArrow(run, StructType([*schema.fields, *rows.schema.fields[2:]]))
 
 
 def least_shared(k: int, threshold: float) -> int:
@@ -174,15 +181,42 @@ def components(links: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, percent: int = 80, k: int = K) -> DataFrame:
     """For each row of docs: key, n_shingles, component_id (smallest key reachable), kept (key = component_id).
     Documents are linked if 100 * intersection >= percent * union of their shingle sets."""
+    base, classes = _groups(docs, key, text, words, percent, k)
+    shared_ids = base.select("key").distinct().count() < base.count()
+    if shared_ids:  # groups that rows of one id lie in are one
+        of_id = base.where("key is not null").join(classes.select("sig", "group"), "sig").select("key", "group").distinct()
+        first = of_id.groupBy("key").agg(F.min("group").alias("b"), F.max("group").alias("last")).where("b < last").select("key", "b")
+        over = components(of_id.join(first, "key").select(F.col("group").alias("a"), "b")).withColumnRenamed("key", "group")
+        classes = classes.join(over, "group", "left").withColumn("group", F.coalesce("label", "group"))
+    least = classes.groupBy("group").agg(F.min("rep").alias("least"))
+    out = base.drop("sketch").join(classes.join(least, "group").select("sig", "least"), "sig", "left").select("key", "n", F.coalesce("least", "key").alias("component"))
+    if shared_ids:  # rows without words go with their id
+        of_id = out.groupBy("key").agg(F.min("component").alias("least")).where("key is not null")
+        out = out.join(of_id, "key", "left").select("key", "n", F.coalesce("least", "component").alias("component"))
+    kept = F.coalesce(F.col("key") == F.col("component"), F.lit(True))
+    return out.select(F.col("key").alias(key), F.col("n").cast("long").alias("n_shingles"), F.col("component").alias("component_id"), kept.alias("kept"))
+
+
+def _text_hash(text: str) -> Column:
+    return F.xxhash64(text)
+
+
+def _groups(docs: DataFrame, key: str, text: str, words: int, percent: int, k: int) -> tuple[DataFrame, DataFrame]:
+    """base: for each row of docs key, n, sig, h (hash of the text). classes: for each sig the smallest key that has it (rep), the h
+    of a row that stands for it, and its group: classes that links join, directly or through others."""
     t = percent / 100
-    base = written(sketches(docs, key, text, words, PROBE), "sketches")
-    classes = written(base.where("sig is not null").groupBy("sig").agg(F.min("key").alias("rep")), "classes")
-    chosen = classes.groupBy(F.col("rep").alias("key")).agg(F.min("sig").alias("sig"))
-    probes = base.join(chosen, ["key", "sig"], "left_semi").withColumn("alpha", alpha_of(F.col("n"), PROBE, t))
-    stay = _common(probes, ("key", "alpha")).where(F.size("shared") >= F.col("alpha")).select(F.col("key").alias(key))
-    reps = written(sketches(docs.join(stay, key, "left_semi"), key, text, words, k, with_body=True).withColumn("alpha", alpha_of(F.col("n"), k, t)), "candidates")
-    if base.count() > base.select("key").distinct().count():  # rows that share a key: one of them stands in the lists
-        reps = written(reps.join(chosen, ["key", "sig"], "left_semi").dropDuplicates(["key"]), "candidates")
+    base = written(sketches(docs.withColumn("_h", _text_hash(text)), key, text, words, PROBE, also=("_h",)).withColumnRenamed("_h", "h"), "sketches")
+    one = base.where("sig is not null").groupBy("sig").agg(F.min("key").alias("rep"), F.coalesce(F.min_by("h", "key"), F.min("h")).alias("h"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
+    classes = written(one.withColumn("node", F.monotonically_increasing_id()), "classes")
+    probes = classes.withColumnRenamed("node", "key").withColumn("alpha", alpha_of(F.col("n"), PROBE, t))
+    stay = _common(probes, ("key", "rep", "h", "sig", "alpha")).where(F.size("shared") >= F.col("alpha"))
+    stay = stay.select(F.col("key").alias("node"), "rep", F.col("h").alias("rep_h"), F.col("sig").alias("own"))
+    rows = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"), _text_hash(text).alias("h"))
+    rows = rows.join(stay, rows.id.eqNullSafe(stay.rep) & (rows.h == stay.rep_h)).select("node", "text", "own")
+    reps = sketches(rows, "node", "text", words, k, with_body=True, also=("own",)).where("sig = own").drop("sig", "own")
+    reps = written(reps.withColumn("alpha", alpha_of(F.col("n"), k, t)), "candidates")
+    if reps.select("key").distinct().count() < reps.count():  # repeated rows: one of them stands in the lists
+        reps = written(reps.dropDuplicates(["key"]), "candidates")
 
     listed = _common(reps, ("key", "n", "alpha")).where(F.size("shared") >= F.col("alpha"))
     room = F.greatest(F.size("shared") - F.col("alpha") + 1, F.lit(0))
@@ -214,11 +248,10 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     # links between stars join their components; what lies within one is known already
     ends = second.join(own.select(F.col("key").alias("a"), F.col("centre").alias("ca")), "a", "left").join(own.select(F.col("key").alias("b"), F.col("centre").alias("cb")), "b", "left")
     over = components(ends.select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")))
-    labels = reps.select(F.col("key").alias("rep")).join(own.withColumnRenamed("key", "rep"), "rep", "left").withColumn("centre", F.coalesce("centre", "rep"))
-    labels = labels.join(over.withColumnRenamed("key", "centre"), "centre", "left").select("rep", F.coalesce("label", "centre").alias("label"))
-    out = base.drop("sketch").join(classes, "sig", "left").join(labels, "rep", "left")
-    component = F.coalesce("label", "rep", "key")
-    return out.select(F.col("key").alias(key), F.col("n").cast("long").alias("n_shingles"), component.alias("component_id"), F.coalesce(F.col("key") == component, F.lit(True)).alias("kept"))
+    labels = reps.select(F.col("key").alias("node")).join(own.withColumnRenamed("key", "node"), "node", "left").withColumn("centre", F.coalesce("centre", "node"))
+    labels = labels.join(over.withColumnRenamed("key", "centre"), "centre", "left").select("node", F.coalesce("label", "centre").alias("label"))
+    grouped = classes.select("sig", "rep", "h", "node").join(labels, "node", "left").select("sig", "rep", "h", F.coalesce("label", "node").alias("group"))
+    return base, written(grouped, "groups")
 
 
 def _common(reps: DataFrame, columns: tuple) -> DataFrame:
@@ -238,12 +271,16 @@ def _pair_shares(a: Column, b: Column, k: int, t: float) -> Column:
 
 
 def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, percent: int = 80, k: int = K) -> DataFrame:
-    """docs without the documents of a group other than the one with the smallest key. Of rows with one key one stays;
-    rows with a null key are kept."""
-    held = Sheltered(docs, {"_nth"}, {key, text})
+    """docs without the rows of a group of near-duplicate texts other than one with the smallest key: what goes has a near
+    copy that stays, or is joined to one by near copies. Different texts of one key are judged each by itself; of rows
+    of one key without words one stays. Rows with a null key are kept."""
+    held = Sheltered(docs, {"_nth", "_h"}, {key, text})
     docs = held.df
-    kept = near_duplicates(docs.where(F.col(key).isNotNull()), key, text, words, percent, k).where("kept").select(key).distinct()
-    known = docs.join(kept, key, "left_semi").select(*[quoted(c) for c in docs.columns])
-    order = Window.partitionBy(key).orderBy(F.xxhash64(text), F.xxhash64(*[quoted(c) for c, kind in docs.dtypes if "map<" not in kind and kind != "variant"]))
-    one = known.withColumn("_nth", F.row_number().over(order)).where("_nth = 1").drop("_nth")
+    base, classes = _groups(docs, key, text, words, percent, k)
+    chosen = classes.where("rep is not null").groupBy("group").agg(F.min("rep").alias("rep"), F.min_by("h", "rep").alias("h")).select("rep", "h")
+    chosen = chosen.union(base.where("sig is null and key is not null").groupBy("key").agg(F.min("h").alias("h")))
+    known = docs.withColumn("_h", _text_hash(text))
+    known = known.join(chosen, (known[key].cast("long") == chosen.rep) & (known._h == chosen.h), "left_semi")
+    order = Window.partitionBy(key, "_h").orderBy(F.xxhash64(*[quoted(c) for c, kind in docs.dtypes if "map<" not in kind and kind != "variant"]))
+    one = known.withColumn("_nth", F.row_number().over(order)).where("_nth = 1").drop("_nth", "_h")
     return held.restored(one.unionByName(docs.where(F.col(key).isNull())))

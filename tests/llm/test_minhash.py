@@ -94,6 +94,21 @@ def test_dropping_keeps_one_of_each_group_and_all_columns(spark):
     assert out.columns == df.columns and sorted(r._nth for r in out.collect()) == [1, 3, 4, 5]
 
 
+def test_texts_that_share_an_id_each_have_their_links(spark):
+    w = [[f"{c}{i}" for i in range(60)] for c in "abcdef"]
+    near = lambda n, last: " ".join([*w[n][:-1], last])
+    whole = [" ".join(x) for x in w]
+    rows = [(5, whole[0]), (5, whole[1]), (8, near(0, "x")), (9, near(1, "x")), (7, whole[2]), (7, whole[3]), (7, ""), (2, near(2, "x")), (10, near(3, "x"))]
+    rows += [(None, whole[4]), (None, whole[5]), (12, near(4, "x")), (11, near(4, "y")), (20, near(5, "x")), (30, whole[0].upper()), (5, whole[0].upper())]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    got = sorted((r.doc_id or 0, r.component_id, r.kept) for r in minhash.near_duplicates(df, percent=90).collect())
+    want = [(i, 2, i == 2) for i in (2, 7, 7, 7, 10)] + [(i, 5, i == 5) for i in (5, 5, 5, 8, 9, 30)] + [(0, 11, True), (0, 20, True), (11, 11, True), (12, 11, False), (20, 20, True)]
+    assert got == sorted(want)
+    left = [(r.doc_id, r.text.lower()) for r in minhash.drop_near_duplicates(df, percent=90).collect()]
+    want = [(5, whole[0]), (5, whole[1]), (2, near(2, "x")), (7, whole[3]), (7, ""), (None, whole[4]), (None, whole[5]), (11, near(4, "y")), (20, near(5, "x"))]
+    assert sorted(left, key=str) == sorted(want, key=str)
+
+
 def test_query(spark, sf):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
     check(op9_minhash_near_dedup(spark, sf).collect(), rows, 85)
