@@ -185,8 +185,9 @@ def has_letter(text: Column) -> Column:
     return F.coalesce(F.regexp_like(text, F.lit(r"\p{L}")), F.lit(False))
 
 
-def predict(df: DataFrame, model: Model | None, text: str = "text") -> DataFrame:
-    """df with lang_pred and score; columns of these names are replaced. No rows move."""
+def predict(df: DataFrame, model: Model | None, text: str = "text", reject: bool = False) -> DataFrame:
+    """df with lang_pred and score; columns of these names are replaced. No rows move. With reject, a text that no tree
+    codes in less than 8 bits a byte is `und` too."""
     held = Sheltered(df, {"lang_pred", "score", "_letter"}, {text})
     df = held.df
     if model is None:
@@ -205,8 +206,9 @@ def predict(df: DataFrame, model: Model | None, text: str = "text") -> DataFrame
                     bits = code_lengths(m, [t for _, t in todo])
                     best = bits.argmin(1)
                     share = 1 / np.exp2(np.minimum(bits[np.arange(len(bits)), best][:, None] - bits, 0)).sum(1)
-                    for (j, _), k, s in zip(todo, best.tolist(), share.tolist(), strict=True):
-                        names[j], scores[j] = m.languages[k], s
+                    for (j, t), k, s, least in zip(todo, best.tolist(), share.tolist(), bits.min(1).tolist(), strict=True):
+                        if not reject or least < 8 * len(t):
+                            names[j], scores[j] = m.languages[k], s
                     todo, held = [], 0
                 if i < batch.num_rows and letter[i]:
                     data = column[i].as_py().encode("utf-8", "replace")
@@ -219,9 +221,12 @@ def predict(df: DataFrame, model: Model | None, text: str = "text") -> DataFrame
 
 
 def known_languages(df: DataFrame, model: Model | None, text: str = "text") -> DataFrame:
-    """The rows of df in which a language is found, with df's columns alone."""
+    """The rows of df in which a language is found, with df's columns alone: those with a letter whose text the best
+    language codes in less than 8 bits a byte. If nothing was learned, all rows with a letter."""
+    if model is None:
+        return df.where(has_letter(F.col(text)))
     held = Sheltered(df, {"lang_pred", "score"}, {text})
-    return held.restored(predict(held.df, model, text).where("lang_pred <> 'und'"))
+    return held.restored(predict(held.df, model, text, reject=True).where("lang_pred <> 'und'"))
 
 
 def pack(model: Model) -> tuple:

@@ -1,4 +1,6 @@
+import base64
 import math
+import random
 import zlib
 from collections import Counter
 
@@ -64,6 +66,18 @@ def test_edges(spark):
     assert {r.score for r in ppm.known_languages(clash, model).collect()} == {"mine"}
 
 
+def test_known_languages_rejects_by_code_length(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text", "lang")
+    noise = random.Random(5)
+    odd = [noise.randbytes(200).hex(), base64.b64encode(noise.randbytes(200)).decode(), "zqxj kvwq pfgh wvbx", "Это русский текст о погоде", "12 34", None]
+    extra = spark.createDataFrame([(-1 - i, t, None) for i, t in enumerate(odd)], docs.schema)
+    model = ppm.train(docs)
+    kept = {r.doc_id for r in ppm.known_languages(docs.unionByName(extra), model).collect()}
+    assert kept == {r.doc_id for r in docs.collect()}
+    assert {r.lang_pred for r in ppm.predict(extra.where("doc_id >= -4"), model).collect()} <= set(model.languages)
+    assert sorted(r.doc_id for r in ppm.known_languages(extra, ppm.train(extra)).collect()) == [-4, -3, -2, -1]
+
+
 def test_a_long_text_in_parts(spark, monkeypatch):
     df = spark.createDataFrame([(i, "the cat " * (i * 500), "en") for i in range(1, 9)] + [(20, "el gato " * 10, "es")], "doc_id long, text string, lang string")
     model = ppm.train(df)
