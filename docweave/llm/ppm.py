@@ -9,9 +9,9 @@ language is the one whose tree gives it the shortest code; the score is that lan
 2^-length over all languages (ties: the smaller name).
 
 Counting is a Spark aggregation over a sample of the labelled rows: for each language the `sample_docs`
-rows with the smallest seeded hashes of their keys, among texts of at most `sample_bytes` UTF-8 bytes. Both are
-documented bounds, so the model is bounded too: `most_contexts` contexts of each length, the most
-frequent over all languages. Scoring reads every text whole, in Python workers, by table lookups.
+rows with the smallest seeded hashes of their keys, texts of at most `sample_bytes` UTF-8 bytes first; longer
+ones are taken whole where there are too few of those. The model is bounded too: `most_contexts` contexts of
+each length, those with the largest share of any language's bytes. Scoring reads every text whole, in Python workers, by table lookups.
 
 Defined results: null text, or text without a letter, is `und` with score 0, and so is every text if
 nothing was learned. Rows with a null language are not learned from. Repeated rows get equal results.
@@ -56,44 +56,61 @@ class Model:
 
 def sample(docs: DataFrame, lang: str, key: str, text: str, seed: int, per_language: int, most_bytes: int) -> DataFrame:
     """The learned-from rows. Ids are ranked without their texts; per partition and language at most `per_language` rows reach the ranking."""
-    fit = docs.where(F.col(lang).isNotNull() & (F.octet_length(text) <= most_bytes))
+    fit = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull())
+    # the hash is not negative; the sign bit puts texts within the bound before the others
+    place = F.when(F.octet_length(text) <= most_bytes, uniform_hash(seed, key).bitwiseOR(F.lit(-(1 << 63)))).otherwise(uniform_hash(seed, key))
     order = Window.partitionBy("_lang").orderBy("_hash")
-    ranked = fit.select(F.col(lang).alias("_lang"), uniform_hash(seed, key).alias("_hash")).withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= per_language)
+    ranked = fit.select(F.col(lang).alias("_lang"), place.alias("_hash")).withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= per_language)
     limits = ranked.groupBy("_lang").agg(F.max("_hash").alias("_limit")).limit(MOST_LANGUAGES + 1).collect()
     if len(limits) > MOST_LANGUAGES:
         raise ValueError(f"there are more than {MOST_LANGUAGES} languages")
     if not limits:
         return fit.select(F.col(lang).alias("lang"), F.col(text).alias("text")).where("false")
     least = F.element_at(F.create_map(*[F.lit(x) for r in limits for x in (r["_lang"], r["_limit"])]), F.col(lang))
-    return fit.where(uniform_hash(seed, key) <= least).select(F.col(lang).alias("lang"), F.col(text).alias("text"))
+    return fit.where(place <= least).select(F.col(lang).alias("lang"), F.col(text).alias("text"))
 
 
 def _counts(batches):
     """Of each task: language, length of context, context << 8 | byte, count."""
+    pad = len(BEFORE)
     for batch in batches:
-        langs, texts = np.array(batch.column(0).to_pylist(), object), batch.column(1).to_pylist()
-        for lang in dict.fromkeys(langs.tolist()):
-            joined = b"".join(BEFORE + t.encode("utf-8", "replace") for t, name in zip(texts, langs, strict=True) if name == lang)
-            skip = np.cumsum([0] + [len(BEFORE) + len(t.encode("utf-8", "replace")) for t, name in zip(texts, langs, strict=True) if name == lang])[:-1]
-            b = np.frombuffer(joined, np.uint8).astype(np.int64)
-            own = np.ones(len(b), bool)
-            for i in range(len(BEFORE)):
-                own[skip + i] = False
-            at = np.flatnonzero(own)
-            for order in range(ORDER + 1):
-                gram = b[at]
-                for back in range(1, order + 1):
-                    gram = gram + (b[at - back] << (8 * back))
-                values, n = np.unique(gram, return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(values), pa.string()), pa.array(np.full(len(values), order, np.int32)), pa.array(values), pa.array(n.astype(np.int64))], names=["lang", "order", "gram", "n"])
+        parts: dict = {}
+        for lang, t in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            data = t.as_py().encode("utf-8", "replace")
+            for at in range(0, len(data), SLICE):
+                run = parts.setdefault(lang, [])
+                run.append((BEFORE + data[:SLICE]) if at == 0 else data[at - pad : at + SLICE])
+                if sum(map(len, run)) >= SLICE:
+                    yield from _counted(lang, parts.pop(lang))
+        for lang, run in parts.items():
+            yield from _counted(lang, run)
+
+
+def _counted(lang: str, parts: list[bytes]):
+    """The counts of parts of texts, whose first bytes are context only."""
+    pad = len(BEFORE)
+    skip = np.cumsum([0] + [len(p) for p in parts])[:-1]
+    b = np.frombuffer(b"".join(parts), np.uint8).astype(np.int64)
+    own = np.ones(len(b), bool)
+    for i in range(pad):
+        own[skip + i] = False
+    at = np.flatnonzero(own)
+    for order in range(ORDER + 1):
+        gram = b[at]
+        for back in range(1, order + 1):
+            gram = gram + (b[at - back] << (8 * back))
+        values, n = np.unique(gram, return_counts=True)
+        yield pa.RecordBatch.from_arrays([pa.array([lang] * len(values), pa.string()), pa.array(np.full(len(values), order, np.int32)), pa.array(values), pa.array(n.astype(np.int64))], names=["lang", "order", "gram", "n"])
 
 
 def train(docs: DataFrame, lang: str = "lang", key: str = "doc_id", text: str = "text", seed: int = 41, per_language: int = SAMPLE_DOCS, most_bytes: int = SAMPLE_BYTES, most_contexts: int = MOST_CONTEXTS) -> Model | None:
     """A model of the languages in docs, or None if there is nothing to learn from. Its bounded counts come to the driver."""
     rows = sample(docs, lang, key, text, seed, per_language, most_bytes)
     counts = small_batches(rows).mapInArrow(_counts, "lang string, order int, gram long, n long").groupBy("lang", "order", "gram").agg(F.sum("n").alias("n"))
-    contexts = counts.groupBy("order", F.shiftright("gram", 8).alias("context")).agg(F.sum("n").alias("n_all"))
-    best = Window.partitionBy("order").orderBy(F.desc("n_all"), "context")
+    whole = F.broadcast(counts.groupBy("lang", "order").agg(F.sum("n").alias("n_lang")))  # some rows a language
+    contexts = counts.groupBy("lang", "order", F.shiftright("gram", 8).alias("context")).agg(F.sum("n").alias("n_all"))
+    contexts = contexts.join(whole, ["lang", "order"]).groupBy("order", "context").agg(F.max(F.col("n_all") / F.col("n_lang")).alias("share"))
+    best = Window.partitionBy("order").orderBy(F.desc("share"), "context")
     kept = contexts.withColumn("_r", F.row_number().over(best)).where(F.col("_r") <= most_contexts).select("order", "context")
     chosen = counts.withColumn("context", F.shiftright("gram", 8)).join(kept, ["order", "context"], "left_semi").select("lang", "order", "gram", "n")
     found = chosen.toArrow()

@@ -87,6 +87,30 @@ def test_a_long_text_in_parts(spark, monkeypatch):
     assert ppm.code_lengths(model, [b"the cat " * 4000, b"", b"el gato"])[0] == pytest.approx(whole[0])
 
 
+def test_long_labelled_texts_are_learned_after_the_short_ones(spark, monkeypatch):
+    rows = [(i, "the cat and the hat " * 2, "en") for i in range(3)] + [(10, "el gato y el perro " * 50, "es"), (11, "el perro " * 90, "es"), (12, "the end " * 80, "en"), (13, None, "en")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = ppm.sample(df, "lang", "doc_id", "text", 41, 3, 100).collect()
+    assert sorted(map(tuple, got)) == sorted((r[2], r[1]) for r in rows[:5])
+    monkeypatch.setattr(ppm, "SLICE", 50)
+    model = ppm.train(df, per_language=3, most_bytes=100)
+    assert {r.doc_id: r.lang_pred for r in ppm.predict(df, model).collect()} == {i: "und" if t is None else lang for i, t, lang in rows}
+    training = {"en": [rows[0][1]] * 3, "es": [rows[3][1], rows[4][1]]}
+    for t in ("el gato the", rows[4][1]):
+        assert ppm.code_lengths(model, [t.encode()])[0] == pytest.approx([brute_bits(training, t, x) for x in model.languages], rel=1e-4)
+
+
+def test_contexts_of_a_language_with_few_texts_stay(spark):
+    rng = random.Random(6)
+    rows = [(i, " ".join("".join(rng.choices("abcdefghijklmnop", k=5)) for _ in range(80)), "xx") for i in range(50)] + [(99, "wurzyvuz", "yy")]
+    model = ppm.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"), most_contexts=300)
+    for order in (2, 3):
+        data = ppm.BEFORE + b"wurzyvuz"
+        for i in range(3, len(data)):
+            assert model.ids[order][int.from_bytes(data[i - order : i], "big")] > 0
+        assert np.count_nonzero(model.ids[order]) <= 300
+
+
 def test_query_on_held_out_documents(spark, sf):
     docs = {r.doc_id: r for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
     got = op8_ppm_language(spark, sf).collect()
