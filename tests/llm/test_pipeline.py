@@ -1,4 +1,6 @@
 import base64
+import unicodedata
+from collections import Counter
 
 import public_tokenizers
 import tiktoken
@@ -6,6 +8,8 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from docweave.llm import bpe
+from test_minhash import brute
+from test_mixing import water, words
 
 
 def test_stages(spark, sf):
@@ -36,3 +40,34 @@ def test_run(spark, sf):
     assert got
     for r in got:
         assert r.round_trip and list(r.ids) == library.encode_ordinary(texts[r.doc_id]) and r.n_tokens == len(r.ids)
+
+
+def expected_copies(spark, docs):
+    """doc_id: copies that the mix takes of it; letters, exact similarity groups at 0.8, targets shared out in seeded order."""
+    known = [r for r in docs if any(unicodedata.category(c)[0] == "L" for c in r.text or "")]
+    label = brute([(r.doc_id, r.text) for r in known], 80)
+    rows = [r for r in known if label[r.doc_id][1] == r.doc_id]
+    hashed = spark.createDataFrame([(r.doc_id,) for r in rows], "doc_id long").select("doc_id", F.xxhash64(F.lit(17), "doc_id").alias("h")).collect()
+    place = {r.doc_id: r.h & ((1 << 63) - 1) for r in hashed}
+    sizes = Counter()
+    for r in rows:
+        sizes[r.source] += words(r.text)
+    names = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))
+    target = water(sizes, {s: (5, 2, 1)[i % 3] for i, s in enumerate(names)})
+    copies, before = Counter(), Counter()
+    for r in sorted(rows, key=lambda r: place[r.doc_id]):
+        n = words(r.text)
+        middle = before[r.source] + n / 2
+        before[r.source] += n
+        copies[r.doc_id] += sum(middle + p * sizes[r.source] < target[r.source] for p in range(3)) if n else 0
+    return len(known), len(rows), +copies
+
+
+def test_run_against_brute_force(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").collect()
+    known, kept, copies = expected_copies(spark, docs)
+    got = corpus_pipeline.run(spark, sf).select("doc_id", "lang", "source").collect()
+    assert Counter(r.doc_id for r in got) == copies
+    by_id = {r.doc_id: (r.lang, r.source) for r in docs}
+    assert all((r.lang, r.source) == by_id[r.doc_id] for r in got)
+    assert len(docs) >= known > kept > 0 and set(copies.values()) != {1}
