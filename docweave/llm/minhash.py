@@ -6,8 +6,8 @@
    most of whose values no other document retains: they can have no link, and go. Those that stay get
    the full sketch, the k smallest values.
 2. Inverted lists. A pair at the threshold shares at least `alpha` retained values: all but a share of
-   1 - threshold where sets are kept whole, and a binomial lower bound (5 standard deviations) where they
-   are not. So of two linked sketches, both ordered by how many documents retain a value (rare first), the
+   1 - threshold where sets are kept whole, and a quantile of the binomial distribution (chance CHANCE of less) where
+   they are not. So of two linked sketches, both ordered by how many documents retain a value (rare first), the
    first size - alpha + 1 values meet; only those are listed, and values that one document alone retains
    are never listed. Common passages and lines have long lists, but come last in the order, and a document
    in which more is its own than any link allows has no entry at all. Nothing is capped.
@@ -15,8 +15,13 @@
    values it has in common with others. The sketch of the union (the k smallest of both) estimates the
    overlap, what is not hopeless is verified on the full sets, and documents of one component of these
    links need not meet one another. A group of thousands of near copies costs a few pairs a document.
-4. The rest. All pairs of a list whose documents are in different components meet, if sizes and shares in
-   common allow a link; they are estimated and verified in the same way.
+4. The rest: links between documents of different components. In a list of at most LONG documents all such pairs meet,
+   if sizes and shares in common allow a link; so pairs grow with the entries. In longer lists, where documents
+   have stock passages in common, single values say little. Their documents are listed anew under groups of
+   values: of the values below a cut that both sketches of a pair of like sizes retain, the GROUP first by each of GROUPS
+   further hashes. A pair of similarity s shares one group with chance s^GROUP, so linked pairs meet
+   (but for a chance of about CHANCE) and documents that share a third of their passages hardly ever do. All pairs
+   are estimated and verified in the same way.
 5. Components of the components by these links: labels spread along links and through labels until none changes.
    Where rows share a doc_id, the groups that an id has rows in are joined in the same way.
 
@@ -32,6 +37,7 @@ the smallest doc_id reachable or else null, and they are kept. An empty table gi
 from __future__ import annotations
 
 import math
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -50,6 +56,12 @@ PROBE = 32
 #: Words whose hashes a task remembers.
 REMEMBERED = 300_000
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
+#: With which a linked pair falls below a bound on shared values.
+CHANCE = 1e-7
+#: Documents of a list that all meet one another; values of a group, and groups of a document, beyond that.
+LONG = 64
+GROUP = 7
+GROUPS = 128
 
 
 class _Hashes(dict):
@@ -112,9 +124,17 @@ def sketches(docs: DataFrame, key: str = "doc_id", text: str = "text", words: in
     return rows.mapInArrow(run, StructType([*schema.fields, *rows.schema.fields[2:]]))
 
 
-def least_shared(k: int, threshold: float) -> int:
-    """Of the k smallest values of a union, linked sets share at least so many (5 standard deviations)."""
-    return math.floor(k * threshold - 5 * math.sqrt(k * threshold * (1 - threshold)))
+@lru_cache(maxsize=1024)
+def least_shared(k: int, p: float, chance: float = CHANCE) -> int:
+    """The most successes that k trials of probability p fall short of with at most this chance."""
+    if p >= 1:
+        return k
+    below = 0.0
+    for n in range(k + 1):
+        below += math.exp(math.lgamma(k + 1) - math.lgamma(n + 1) - math.lgamma(k - n + 1) + (n * math.log(p) if n else 0.0) + (k - n) * math.log1p(-p)) if p > 0 else 1.0
+        if below > chance:
+            return n
+    return k
 
 
 def alpha_of(n: Column, k: int, threshold: float) -> Column:
@@ -124,20 +144,37 @@ def alpha_of(n: Column, k: int, threshold: float) -> Column:
     return F.when(n <= F.lit(threshold * k), whole).otherwise(F.least(whole, F.lit(least_shared(k, threshold))))
 
 
-def _overlap(a: Column, b: Column, k: int) -> tuple[Column, Column]:
-    """Shared values among the k smallest of the union of two sketches, and how many those are."""
-    union = F.slice(F.array_sort(F.array_union(a, b)), 1, k)
-    return F.size(F.array_intersect(F.array_intersect(a, b), union)), F.size(union)
+def overlap(a: np.ndarray, b: np.ndarray, k: int) -> tuple[int, int]:
+    """Shared values among the k smallest of the union of two sketches (ascending), and how many those are."""
+    both = np.concatenate((a, b))
+    both.sort(kind="stable")
+    again = both[1:] == both[:-1]
+    distinct = len(both) - int(again.sum())
+    if distinct <= k:
+        return len(both) - distinct, distinct
+    # the place of each value among the distinct ones
+    place = np.arange(1, len(both)) - np.cumsum(again)
+    return int((again & (place < k)).sum()), k
 
 
 def _hopeful(pairs: DataFrame, reps: DataFrame, k: int, threshold: float) -> DataFrame:
-    """Pairs (a, b) whose union sketch allows a link: exactly where it is the whole union, else within 5 standard deviations."""
-    left = reps.select(F.col("key").alias("a"), F.col("sketch").alias("sa"))
-    right = reps.select(F.col("key").alias("b"), F.col("sketch").alias("sb"))
-    met = pairs.join(left, "a").join(right, "b")
-    shared, size = _overlap(F.col("sa"), F.col("sb"), k)
-    met = met.select("a", "b", shared.alias("shared"), size.alias("size"))
-    return met.where(F.when(F.col("size") < k, F.col("shared") >= F.col("size") * threshold - 1e-9).otherwise(F.col("shared") >= least_shared(k, threshold))).select("a", "b")
+    """Pairs (a, b) whose union sketch allows a link: exactly where it is the whole union, else but for CHANCE."""
+    least = least_shared(k, threshold)
+    met = pairs.join(reps.select(F.col("key").alias("a"), F.col("sketch").alias("sa")), "a")
+    met = met.join(reps.select(F.col("key").alias("b"), F.col("sketch").alias("sb")), "b").select("a", "b", "sa", "sb")
+
+    def run(batches):
+        for batch in batches:
+            left, right = batch.column(2), batch.column(3)
+            keep = np.zeros(batch.num_rows, bool)
+            parts = [(np.asarray(c.values), np.asarray(c.offsets)) for c in (left, right)]
+            (lv, lo), (rv, ro) = parts
+            for i in range(batch.num_rows):
+                shared, size = overlap(lv[lo[i] : lo[i + 1]], rv[ro[i] : ro[i + 1]], k)
+                keep[i] = shared >= size * threshold - 1e-9 if size < k else shared >= least
+            yield batch.select([0, 1]).filter(pa.array(keep))
+
+    return small_batches(met).mapInArrow(run, "a long, b long")
 
 
 def verified(pairs: DataFrame, reps: DataFrame, words: int, percent: int) -> DataFrame:
@@ -231,19 +268,12 @@ def _groups(docs: DataFrame, key: str, text: str, words: int, percent: int, k: i
     own = components(first).select(F.col("key"), F.col("label").alias("centre"))
     placed = lists.join(own, "key", "left").withColumn("centre", F.coalesce("centre", "key"))
     # lists whose documents all have one centre make no pairs; the others lose only pairs within a centre
-    mixed = placed.groupBy("value").agg(F.min("centre").alias("low"), F.max("centre").alias("high")).where("low < high").select("value")
-    placed = written(placed.join(mixed, "value", "left_semi"), "placed")
-    own_values = placed.groupBy("key").agg(F.transform(F.sort_array(F.collect_list(F.struct("place", "value"))), lambda v: v["value"]).alias("values"))  # at most k
-    placed = placed.join(own_values, "key")
-    x, y = placed.alias("x"), placed.alias("y")
-    # the first value that linked sketches share has the others they must share behind it, in both; a pair meets there alone
-    need = _pair_shares(F.col("x.n"), F.col("y.n"), k, t)
-    fits = (F.least("x.c", "y.c") >= need) & (F.col("x.place") <= F.col("x.r") - need + 1) & (F.col("y.place") <= F.col("y.r") - need + 1)
-    sizes = (F.least("x.n", "y.n") * 100 >= F.greatest("x.n", "y.n") * percent) & fits
-    meets = (F.col("x.value") == F.col("y.value")) & (F.col("x.key") < F.col("y.key")) & (F.col("x.centre") != F.col("y.centre")) & sizes
-    rest = x.join(y, meets & (F.get(F.array_intersect("x.values", "y.values"), F.lit(0)) == F.col("x.value")))
-    rest = rest.select(F.col("y.key").alias("a"), F.col("x.key").alias("b")).distinct()
-    second = verified(_hopeful(rest, reps, k, t), reps, words, percent)
+    mixed = placed.groupBy("value").agg(F.min("centre").alias("low"), F.max("centre").alias("high"), F.count("*").alias("many")).where("low < high").select("value", "many")
+    placed = written(placed.join(mixed, "value"), "placed")
+    rest = _short_lists(placed.where(F.col("many") <= LONG), percent, k, t)
+    hot = placed.where(F.col("many") > LONG).select("key", "centre").distinct()
+    rest = rest.union(_long_lists(hot.join(reps.select("key", "n", "sketch"), "key"), percent, k, t)).distinct()
+    second = written(verified(_hopeful(rest, reps, k, t), reps, words, percent), "rest")
 
     # links between stars join their components; what lies within one is known already
     ends = second.join(own.select(F.col("key").alias("a"), F.col("centre").alias("ca")), "a", "left").join(own.select(F.col("key").alias("b"), F.col("centre").alias("cb")), "b", "left")
@@ -254,6 +284,76 @@ def _groups(docs: DataFrame, key: str, text: str, words: int, percent: int, k: i
     return base, written(grouped, "groups")
 
 
+def _short_lists(placed: DataFrame, percent: int, k: int, t: float) -> DataFrame:
+    """Pairs (a, b) of documents of one list, with different centres, that sizes and places let be linked."""
+    own_values = placed.groupBy("key").agg(F.transform(F.sort_array(F.collect_list(F.struct("place", "value"))), lambda v: v["value"]).alias("values"))  # at most k
+    placed = placed.join(own_values, "key")
+    x, y = placed.alias("x"), placed.alias("y")
+    # the first value that linked sketches share has the others they must share behind it, in both; a pair meets there alone
+    need = _pair_shares(F.col("x.n"), F.col("y.n"), k, t)
+    fits = (F.least("x.c", "y.c") >= need) & (F.col("x.place") <= F.col("x.r") - need + 1) & (F.col("y.place") <= F.col("y.r") - need + 1)
+    meets = (F.col("x.value") == F.col("y.value")) & (F.col("x.key") < F.col("y.key")) & (F.col("x.centre") != F.col("y.centre")) & _like("x.n", "y.n", percent) & fits
+    met = x.join(y, meets & (F.get(F.array_intersect("x.values", "y.values"), F.lit(0)) == F.col("x.value")))
+    return met.select(F.col("y.key").alias("a"), F.col("x.key").alias("b"))
+
+
+def _like(a: str, b: str, percent: int) -> Column:
+    return F.least(a, b) * 100 >= F.greatest(a, b) * percent
+
+
+def _long_lists(docs: DataFrame, percent: int, k: int, t: float) -> DataFrame:
+    """Pairs (a, b) of documents (key, centre, n, sketch) with different centres that have a group of values in common."""
+
+    def run(batches):
+        for batch in batches:
+            keys, ns, meets = [], [], []
+            for i, n, sketch in zip(batch.column(0), batch.column(1).to_pylist(), batch.column(2), strict=True):
+                values = np.asarray(sketch.values).view(np.uint64) ^ np.uint64(1 << 63)
+                found = value_groups(values, n, k, t)
+                meets.append(found.view(np.int64))
+                keys.append(np.full(len(found), i.as_py()))
+                ns.append(np.full(len(found), n, np.int32))
+            if keys:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (keys, ns, meets)], names=["key", "n", "meet"])
+
+    groups = small_batches(docs.select("key", "n", "sketch")).mapInArrow(run, "key long, n int, meet long").join(docs.select("key", "centre"), "key")
+    several = groups.groupBy("meet").agg(F.min("centre").alias("low"), F.max("centre").alias("high")).where("low < high").select("meet")
+    groups = written(groups.join(several, "meet", "left_semi"), "value-groups")
+    # centres meet first: documents of one centre, however many, are not compared with one another
+    centres = groups.select("meet", "centre").distinct()
+    both = centres.alias("x").join(centres.alias("y"), (F.col("x.meet") == F.col("y.meet")) & (F.col("x.centre") < F.col("y.centre"))).select("x.meet", F.col("x.centre").alias("cx"), F.col("y.centre").alias("cy"))
+    x = groups.select("meet", F.col("centre").alias("cx"), F.col("key").alias("kx"), F.col("n").alias("nx"))
+    y = groups.select("meet", F.col("centre").alias("cy"), F.col("key").alias("ky"), F.col("n").alias("ny"))
+    met = both.join(x, ["meet", "cx"]).join(y, ["meet", "cy"]).where(_like("nx", "ny", percent))
+    return met.select(F.greatest("kx", "ky").alias("a"), F.least("kx", "ky").alias("b")).distinct()
+
+
+def value_groups(values: np.ndarray, n: int, k: int, t: float) -> np.ndarray:
+    """Numbers of a set's groups. Two sets whose sizes allow a link are of one size class or of classes side by side, so each set
+    takes part in its own class and the next. Within a class all sets keep the values below one cut, which the k
+    smallest of its largest set hold (but for some 5 standard deviations), so that the chance of a common group is that of the whole sets' similarity."""
+    out = []
+    own = math.floor(math.log(max(n, 1)) / -math.log(t) + 1e-9)
+    for c in (own, own + 1):
+        largest = t ** -(c + 1)
+        cut = 1.0 if largest <= k else (k - 5 * math.sqrt(k)) / largest
+        held = values if cut == 1.0 else values[values < np.uint64(int(cut * 2.0**64))]
+        if not len(held):
+            continue
+        number = np.arange(1, GROUPS + 1, dtype=np.uint64) * MULTIPLIER
+        h = (held[None, :] ^ number[:, None]) * np.uint64(0xBF58476D1CE4E5B9)
+        h ^= h >> np.uint64(31)
+        h *= np.uint64(0x94D049BB133111EB)
+        m = min(GROUP, len(held))
+        first = np.sort(np.partition(h, m - 1, axis=1)[:, :m], axis=1)
+        acc = number ^ np.uint64(c)
+        for i in range(m):
+            acc = (acc ^ first[:, i]) * MULTIPLIER
+            acc ^= acc >> np.uint64(29)
+        out.append(acc)
+    return np.concatenate(out) if out else np.zeros(0, np.uint64)
+
+
 def _common(reps: DataFrame, columns: tuple) -> DataFrame:
     """columns, r (size of the sketch), shared: the (df, value) of those sketch values that several documents retain, rare first."""
     entries = reps.select("key", F.explode("sketch").alias("value"))
@@ -264,10 +364,11 @@ def _common(reps: DataFrame, columns: tuple) -> DataFrame:
 
 def _pair_shares(a: Column, b: Column, k: int, t: float) -> Column:
     """Retained values that linked sets of sizes a and b share at least: t / (1 + t) of both sizes where both sets are
-    whole, else that share of the larger one's k values, less 5 standard deviations."""
+    whole, else that share of the larger one's k values, but for CHANCE."""
     both = F.lit(t / (1 + t)) * (a + b)
-    p = F.least(both / F.greatest(a, b), F.lit(1.0))
-    return F.when(F.greatest(a, b) <= k, both - 1e-9).otherwise(p * k - 5 * F.sqrt(p * (1 - p) * k))
+    bounds = F.lit([least_shared(k, i / k) for i in range(k + 1)])
+    p = F.floor(F.least(both / F.greatest(a, b), F.lit(1.0)) * k).cast("int")
+    return F.when(F.greatest(a, b) <= k, both - 1e-9).otherwise(F.get(bounds, p))
 
 
 def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, percent: int = 80, k: int = K) -> DataFrame:

@@ -112,3 +112,39 @@ def test_texts_that_share_an_id_each_have_their_links(spark):
 def test_query(spark, sf):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
     check(op9_minhash_near_dedup(spark, sf).collect(), rows, 85)
+
+
+def blocks(seed, n, vocabulary=4000):
+    """Documents of 20 blocks in 3 variants each: any two share a third of their blocks, none is linked with another."""
+    rng = random.Random(seed)
+    stock = [[" ".join(f"w{rng.randrange(vocabulary)}" for _ in range(60)) for _ in range(3)] for _ in range(20)]
+    return [(i, " ".join(rng.choice(variants) for variants in stock)) for i in range(n)]
+
+
+def test_pairs_grow_with_the_documents_where_all_share_stock_passages(spark, monkeypatch):
+    met, hopeful = [], minhash._hopeful
+
+    def counted(pairs, *rest):
+        met.append(pairs.count())
+        return hopeful(pairs, *rest)
+
+    monkeypatch.setattr(minhash, "_hopeful", counted)
+    for n in (300, 900):
+        assert minhash.near_duplicates(spark.createDataFrame(blocks(3, n), SCHEMA)).where("doc_id <> component_id").isEmpty()
+        assert sum(met) < 6 * n
+        met.clear()
+
+
+@pytest.mark.parametrize("percent", [80, 85])
+def test_links_in_long_lists_are_found(spark, monkeypatch, percent):
+    """All lists count as long, and near copies of documents of stock passages differ by some words."""
+    monkeypatch.setattr(minhash, "LONG", 1)
+    rng = random.Random(7)
+    rows = blocks(5, 60)
+    for i, text in rows[:50]:
+        words = text.split(" ")
+        for _ in range(rng.randint(1, 24)):
+            words[rng.randrange(len(words))] = f"new{rng.random()}"
+        rows.append((100 + i, " ".join(words[: rng.randint(1100, 1200)])))
+    rows += [(500 + i, t) for i, t in corpus(11, 8, 8)] if percent == 80 else []
+    check(minhash.near_duplicates(spark.createDataFrame(rows, SCHEMA), percent=percent).collect(), rows, percent)
