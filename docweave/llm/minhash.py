@@ -19,9 +19,9 @@
    if sizes and shares in common allow a link; so pairs grow with the entries. In longer lists, where documents
    have stock passages in common, single values say little. Their documents are listed anew under groups of
    values: of the values below a cut that both sketches of a pair of like sizes retain, the GROUP first by each of GROUPS
-   further hashes. A pair of similarity s shares one group with chance s^GROUP, so linked pairs meet
-   (but for a chance of about CHANCE) and documents that share a third of their passages hardly ever do. All pairs
-   are estimated and verified in the same way.
+   further hashes. A pair of similarity s shares each group with chance s^GROUP, and meets by IN_COMMON of them: linked pairs
+   do but for a chance of about 2 CHANCE at 0.8, documents that share a third of their passages (0.2) in 3 of a million cases. All
+   pairs are estimated and verified in the same way.
 5. Components of the components by these links: labels spread along links and through labels until none changes.
    Where rows share a doc_id, the groups that an id has rows in are joined in the same way.
 
@@ -58,10 +58,11 @@ REMEMBERED = 300_000
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 #: With which a linked pair falls below a bound on shared values.
 CHANCE = 1e-7
-#: Documents of a list that all meet one another; values of a group, and groups of a document, beyond that.
-LONG = 64
+#: Documents of a list that all meet one another; beyond that: values of a group, groups of a document, and how many a pair has in common.
+LONG = 16
 GROUP = 7
-GROUPS = 128
+GROUPS = 192
+IN_COMMON = 2
 
 
 class _Hashes(dict):
@@ -302,35 +303,38 @@ def _like(a: str, b: str, percent: int) -> Column:
 
 
 def _long_lists(docs: DataFrame, percent: int, k: int, t: float) -> DataFrame:
-    """Pairs (a, b) of documents (key, centre, n, sketch) with different centres that have a group of values in common."""
+    """Pairs (a, b) of documents (key, centre, n, sketch) with different centres that have IN_COMMON groups of values in common."""
 
     def run(batches):
         for batch in batches:
-            keys, ns, meets = [], [], []
+            keys, ns, owns, meets = [], [], [], []
             for i, n, sketch in zip(batch.column(0), batch.column(1).to_pylist(), batch.column(2), strict=True):
                 values = np.asarray(sketch.values).view(np.uint64) ^ np.uint64(1 << 63)
-                found = value_groups(values, n, k, t)
-                meets.append(found.view(np.int64))
-                keys.append(np.full(len(found), i.as_py()))
-                ns.append(np.full(len(found), n, np.int32))
+                for own, found in value_groups(values, n, k, t):
+                    meets.append(found.view(np.int64))
+                    owns.append(np.full(len(found), own))
+                    keys.append(np.full(len(found), i.as_py()))
+                    ns.append(np.full(len(found), n, np.int32))
             if keys:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (keys, ns, meets)], names=["key", "n", "meet"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (keys, ns, owns, meets)], names=["key", "n", "own", "meet"])
 
-    groups = small_batches(docs.select("key", "n", "sketch")).mapInArrow(run, "key long, n int, meet long").join(docs.select("key", "centre"), "key")
+    groups = small_batches(docs.select("key", "n", "sketch")).mapInArrow(run, "key long, n int, own boolean, meet long").join(docs.select("key", "centre"), "key")
     several = groups.groupBy("meet").agg(F.min("centre").alias("low"), F.max("centre").alias("high")).where("low < high").select("meet")
     groups = written(groups.join(several, "meet", "left_semi"), "value-groups")
     # centres meet first: documents of one centre, however many, are not compared with one another
     centres = groups.select("meet", "centre").distinct()
     both = centres.alias("x").join(centres.alias("y"), (F.col("x.meet") == F.col("y.meet")) & (F.col("x.centre") < F.col("y.centre"))).select("x.meet", F.col("x.centre").alias("cx"), F.col("y.centre").alias("cy"))
-    x = groups.select("meet", F.col("centre").alias("cx"), F.col("key").alias("kx"), F.col("n").alias("nx"))
-    y = groups.select("meet", F.col("centre").alias("cy"), F.col("key").alias("ky"), F.col("n").alias("ny"))
-    met = both.join(x, ["meet", "cx"]).join(y, ["meet", "cy"]).where(_like("nx", "ny", percent))
-    return met.select(F.greatest("kx", "ky").alias("a"), F.least("kx", "ky").alias("b")).distinct()
+    x = groups.select("meet", F.col("centre").alias("cx"), F.col("key").alias("kx"), F.col("n").alias("nx"), F.col("own").alias("ox"))
+    y = groups.select("meet", F.col("centre").alias("cy"), F.col("key").alias("ky"), F.col("n").alias("ny"), F.col("own").alias("oy"))
+    # in the class of the larger one alone
+    met = both.join(x, ["meet", "cx"]).join(y, ["meet", "cy"]).where(_like("nx", "ny", percent) & (F.col("ox") | F.col("oy")))
+    pairs = met.groupBy(F.greatest("kx", "ky").alias("a"), F.least("kx", "ky").alias("b")).agg(F.countDistinct("meet").alias("many"))
+    return pairs.where(F.col("many") >= IN_COMMON).select("a", "b")
 
 
-def value_groups(values: np.ndarray, n: int, k: int, t: float) -> np.ndarray:
-    """Numbers of a set's groups. Two sets whose sizes allow a link are of one size class or of classes side by side, so each set
-    takes part in its own class and the next. Within a class all sets keep the values below one cut, which the k
+def value_groups(values: np.ndarray, n: int, k: int, t: float) -> list[tuple[bool, np.ndarray]]:
+    """Numbers of a set's groups in its own size class, and in the next. Two sets whose sizes allow a link are of one class or
+    of classes side by side, so they meet in the larger one's. Within a class all sets keep the values below one cut, which the k
     smallest of its largest set hold (but for some 5 standard deviations), so that the chance of a common group is that of the whole sets' similarity."""
     out = []
     own = math.floor(math.log(max(n, 1)) / -math.log(t) + 1e-9)
@@ -350,8 +354,8 @@ def value_groups(values: np.ndarray, n: int, k: int, t: float) -> np.ndarray:
         for i in range(m):
             acc = (acc ^ first[:, i]) * MULTIPLIER
             acc ^= acc >> np.uint64(29)
-        out.append(acc)
-    return np.concatenate(out) if out else np.zeros(0, np.uint64)
+        out.append((c == own, acc))
+    return out
 
 
 def _common(reps: DataFrame, columns: tuple) -> DataFrame:
