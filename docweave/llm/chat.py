@@ -1,11 +1,12 @@
 """Chat formatting in budgeted windows, with DataFrame functions only.
 
-A conversation is cut into spans of turns by prefix sums of its turns' tokens. With a span budget S,
-a turn whose tokens lie within one stretch of S goes to that stretch's span; a turn that crosses a
-border is a span of its own. So a span has at most S tokens, or is a single longer turn, and no
-sequential scan is needed. A window is: the system turn (if the conversation starts with one), the
-last turns of the span before as far as they fit the history budget, then the span's own turns.
+A conversation is cut into spans of turns by prefix sums of its turns' tokens, without a sequential scan. With a span
+budget S, a turn of more than S / 2 tokens is a span of its own; the others go to the stretch in which they start, and a stretch is S
+less the longest of them, so that a span has at most S tokens though its last turn crosses the border. A
+window is: the system turn (if the conversation starts with one), the turns before the span's first one, from
+whatever span, that start at most the history budget before it, then the span's own turns.
 Repeated turns are context: their assistant texts carry no loss, so each target counts once.
+Token costs are those of `tokens`: quarter_bytes is an estimate, so budgets hold in its terms; exact counts come from a column.
 
 Template: <|im_start|>role, newline, text, <|im_end|>, newline. Within roles and texts every
 "<", any number of "!", "|" gets one more "!", so no control string can occur there, and taking
@@ -65,19 +66,22 @@ def chat_windows(turns: DataFrame, budget: int = 4096, history: int = 512, token
     rows = rows.withColumns({"_system": is_system, "_end": F.sum(F.when(is_system, 0).otherwise(F.col("_cost"))).over(so_far)})
     head = F.coalesce(F.max(F.when(F.col("_system"), F.col("_cost"))).over(conv), F.lit(0))
     rows = rows.withColumn("_span_budget", F.greatest(F.lit(budget - history) - head, F.lit(max(1, budget // 8))))
-    first, last = F.expr("(_end - _cost) div _span_budget"), F.expr("(_end - 1) div _span_budget")
-    rows = rows.withColumn("_key", F.when(F.col("_system"), -1).otherwise(first * 2 + (first != last).cast("long")))
-    rows = rows.withColumn("_span", F.dense_rank().over(conv.orderBy("_key")))
-    has_system = F.max(F.col("_system").cast("int")).over(conv)
-    rows = rows.withColumns({"_window": F.greatest(F.col("_span") - 1 - has_system, F.lit(0)), "_last": F.greatest(F.max("_span").over(conv) - 1 - has_system, F.lit(0))})
-    back = Window.partitionBy("conv_id", "_key").orderBy(F.desc("_pos"))
-    suffix = F.sum("_cost").over(back.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    rows = rows.withColumn("_tail", ~F.col("_system") & (suffix <= history) & (F.col("_window") < F.col("_last")))
-    places = (
-        F.when(F.col("_system"), F.transform(F.sequence(F.lit(0), F.col("_last")), lambda w: F.struct(w.alias("w"), (w > 0).alias("again"))))
-        .when(F.col("_tail"), F.array(F.struct(F.col("_window").alias("w"), F.lit(False).alias("again")), F.struct((F.col("_window") + 1).alias("w"), F.lit(True).alias("again"))))
-        .otherwise(F.array(F.struct(F.col("_window").alias("w"), F.lit(False).alias("again"))))
-    )
+    start = F.col("_end") - F.col("_cost")  # of the system turn: below all others
+    rows = rows.withColumn("_start", F.when(F.col("_system"), F.lit(-1)).otherwise(start))
+    small = ~F.col("_system") & (F.col("_cost") * 2 <= F.col("_span_budget"))
+    rows = rows.withColumns({"_small": small, "_longest": F.coalesce(F.max(F.when(small, F.col("_cost"))).over(conv), F.lit(0))})
+    rows = rows.withColumn("_stretch", F.expr("_start div greatest(_span_budget - _longest, 1)"))
+    by_start = conv.orderBy("_start")
+    opens = F.coalesce(~(F.col("_small") & F.lag("_small").over(by_start) & (F.lag("_stretch").over(by_start) == F.col("_stretch"))), F.lit(True))
+    rows = rows.withColumn("_opens", ~F.col("_system") & opens)
+    rows = rows.withColumn("_window", F.greatest(F.sum(F.col("_opens").cast("int")).over(by_start.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - 1, F.lit(0)))
+    rows = rows.withColumn("_last", F.max("_window").over(conv))
+    # spans that begin within the history budget behind the turn's start; turns start at different places
+    later = F.collect_list(F.when(F.col("_opens"), F.col("_window"))).over(by_start.rangeBetween(1, history))
+    rows = rows.withColumn("_later", F.when(F.col("_system"), F.sequence(F.lit(0), F.col("_last"))).otherwise(later) if history > 0 else F.when(F.col("_system"), F.sequence(F.lit(0), F.col("_last"))))
+    own = F.array(F.struct(F.col("_window").alias("w"), F.lit(False).alias("again")))
+    again = F.transform(F.coalesce(F.filter("_later", lambda w: w > F.col("_window")), F.array().cast("array<bigint>")), lambda w: F.struct(w.alias("w"), F.lit(True).alias("again")))
+    places = F.concat(own, again)
     placed = rows.withColumn("_place", F.explode(places))
     piece_head = F.concat(F.lit(START), escape_role(F.col("_role")), F.lit("\n"))
     escaped = escape(F.col("_text"))

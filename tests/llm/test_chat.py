@@ -40,12 +40,28 @@ def test_windows_cover_turns_once_and_targets_once(spark):
                 assert w.text.startswith("<|im_start|>system\nbe brief<|im_end|>\n")
             masked = re.sub(r"(?s).", "-", w.text)
             assert all(0 <= s.start <= s.end <= len(masked) for s in w.loss)
-            # the history is the run of turns right before the new ones
-            pieces = w.text.split("<|im_start|>")[1:]
-            context = pieces[c % 2 : w.n_context] if k[1] or c % 2 == 0 else []
+            # the history is the run of turns that start within 80 tokens before the new ones
+            cost = lambda r: 5 + -(-len((r[3] or "").encode()) // 4)
+            first = sum(len(read[x].turns) for x in keys if x[1] < k[1])
+            head = c % 2
+            near = [i for i in range(head, first) if sum(map(cost, mine[i:first])) <= 80]
+            assert w.n_context == (len(near) + head if k[1] else 0)
+            pieces = [chat_turn(p) for p in w.text.split("<|im_start|>")[1:]]
             if k[1]:
-                before = [p for x in keys if x[1] < k[1] for p in text[x].text.split("<|im_start|>")[1 + text[x].n_context - (0 if x[1] else 0) :]]
-                assert context == before[len(before) - len(context) :] if context else True
+                assert pieces[head : w.n_context] == [(mine[i][2] or "", mine[i][3] or "") for i in near]
+
+
+def chat_turn(piece):
+    role, _, text = piece.partition("\n")
+    undone = lambda s: re.sub(r"<!(!*)\|", r"<\1|", s)
+    return undone(role).replace("%0A", "\n").replace("%25", "%"), undone(text[: -len("<|im_end|>\n")])
+
+
+def test_windows_of_long_conversations_are_full(spark):
+    rows = [(1, t, "user" if t % 2 == 0 else "assistant", "x" * 400) for t in range(200)]
+    text, _ = collect(spark, rows)
+    windows = [text[k] for k in sorted(text)]
+    assert all(w.n_context == 4 for w in windows[1:]) and all(w.n_turns >= 36 for w in windows[1:-1]) and all(w.n_tokens <= 4096 for w in windows)
 
 
 def test_empty_and_repeated(spark):
