@@ -176,6 +176,8 @@ def records(f, wanted, with_payload: bool) -> Iterator[tuple[dict[str, str], int
                     parts.append(more(1 << 16))
                 data = b"".join(parts)
             at = at + known if known else f.tell() - len(inflate.unused_data)
+            if at > size:
+                raise ValueError("a record is cut off")
         else:
             data = head
             while (cut := data.find(b"\r\n\r\n")) < 0:
@@ -190,6 +192,8 @@ def records(f, wanted, with_payload: bool) -> Iterator[tuple[dict[str, str], int
             if ok and with_payload and len(data) < need:
                 data += f.read(need - len(data))
             at += need
+            if at > size + 4:  # the blank lines behind the last record may be missing
+                raise ValueError("a record is cut off")
         if not ok:
             continue
         length = int(named.get("content-length", 0))

@@ -1,5 +1,6 @@
 import gzip
 import hashlib
+import random
 
 import pytest
 
@@ -83,3 +84,14 @@ def test_query(spark, sf):
     rows = [(r.page_id, (r.html or "").encode()) for r in spark.read.parquet(f"{sf}/pages.parquet").collect()]
     got = {r.page_id: (r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in op2_warc(spark, sf).collect()}
     assert got == expected(rows)
+
+
+def test_a_cut_file_is_an_error_whatever_is_read(spark, tmp_path):
+    rows = [(f"r{i}", "response", f"http://x/{i}", "2024-01-01T00:00:00Z", None, bytes(random.Random(i).randbytes(3000))) for i in range(4)]
+    path = f"file://{tmp_path}/cut"
+    warc.write_warc(spark.createDataFrame(rows, warc.WRITE_SCHEMA).coalesce(1), path)
+    (file,) = (tmp_path / "cut").glob("*.warc.gz")
+    file.write_bytes(file.read_bytes()[:-500])
+    for options, where in (({}, "true"), ({"payload": "false"}, "true"), ({}, "record_type = 'revisit'"), ({"payload": "false"}, "record_id = 'r0'")):
+        with pytest.raises(Exception, match="cut off"):
+            warc.read_warc(spark, path, **options).where(where).collect()
