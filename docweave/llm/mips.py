@@ -10,14 +10,17 @@ is s, and a bucket of lengths up to l, the local cosine threshold is c = s / (|q
   q_f > c and without the lower where q_f < -c; others are passed over;
 - otherwise length pruning: only the bucket's vectors of length s / |q| or more.
 What is left is verified by its integer product. Bounds are widened by a relative 1e-9, so rounding
-never loses a vector; ties go to the smaller id.
+never loses a vector; ties go to the smaller id. Products are exact: in doubles where |q| l is below 2^53, else in
+64-bit integers; a score that may pass 2^63 is an error.
 
 Queries against all rows is a grid of packed blocks and buckets, not of rows; each (block, run) keeps
 k scores a query, and a window over k times SLICES rows a query ends it.
 
 Defined results: vectors that are null, or hold null or non-finite components, take no part; shorter
 vectors count as padded with zeros; a row never meets rows of its own id; with fewer than k other rows
-all come; an empty table gives no rows. Components beyond 2^31 in 256ths are an error.
+all come; an empty table gives no rows. Rows that repeat an id with an equal vector count once, as queries and as neighbours; an id
+with several vectors asks with each and is answered once, with the best of all scores, and is a neighbour with each of its scores.
+Components beyond 2^31 in 256ths are an error.
 """
 
 from __future__ import annotations
@@ -33,6 +36,8 @@ BUCKET = 2048
 BLOCK = 512
 SLICES = 8
 COSINE = 0.5
+#: Doubles hold integers up to here.
+EXACT = 2.0**52
 FOCUS = 3
 
 
@@ -87,7 +92,7 @@ class _Block:
     def __init__(self, ids: np.ndarray, vectors: np.ndarray, k: int):
         self.ids, self.vectors, self.k = ids, vectors, k
         self.length = np.sqrt((vectors**2).sum(1))
-        self.best = [(np.zeros(0), np.zeros(0, np.int64)) for _ in ids]  # scores descending, ids
+        self.best = [(np.zeros(0, np.int64), np.zeros(0, np.int64)) for _ in ids]  # scores descending, ids
 
     def meet(self, ids: np.ndarray, m: np.ndarray) -> None:
         wide = max(m.shape[1], self.vectors.shape[1])
@@ -116,19 +121,22 @@ class _Block:
                         low, high = np.where(unit_q[focus] < -c, -2.0, mid - reach), np.where(unit_q[focus] > c, 2.0, mid + reach)
                         near = unit[:count, focus]
                         pick = np.flatnonzero(((near >= low) & (near <= high)).all(1))
-            product = m[pick] @ q  # exact: integers far below 2^53
             who = ids[pick]
+            if self.length[i] * top < EXACT:
+                product = (m[pick] @ q).astype(np.int64)
+            elif self.length[i] * top < 2.0**62:
+                product = m[pick].astype(np.int64) @ q.astype(np.int64)
+            else:
+                raise ValueError("a score may be beyond 64 bits")
+            enter = who != self.ids[i]
             if len(scores) == self.k:
-                enter = product >= scores[-1]
-                product, who = product[enter], who[enter]
-            other = who != self.ids[i]
-            product, who = np.concatenate([scores, product[other]]), np.concatenate([rows, who[other]])
-            if len(product) > self.k:
-                cut = np.partition(product, len(product) - self.k)[len(product) - self.k]
-                keep = product >= cut
-                product, who = product[keep], who[keep]
-            by = np.lexsort((who, -product))[: self.k]
-            self.best[i] = product[by], who[by]
+                enter &= product >= scores[-1]
+            product, who = np.concatenate([scores, product[enter]]), np.concatenate([rows, who[enter]])
+            by = np.lexsort((who, -product))
+            product, who = product[by], who[by]
+            fresh = np.ones(len(by), bool)
+            fresh[1:] = (product[1:] != product[:-1]) | (who[1:] != who[:-1])
+            self.best[i] = product[fresh][: self.k], who[fresh][: self.k]
 
 
 def top_k(vectors: DataFrame, queries: Column, k: int = 5, key: str = "vec_id", vector: str = "embedding", scale: int = 256, bucket: int = BUCKET, block: int = BLOCK) -> DataFrame:
@@ -159,7 +167,7 @@ def top_k(vectors: DataFrame, queries: Column, k: int = 5, key: str = "vec_id",
         def out(found):
             q = np.concatenate([np.full(len(r), q) for q, r, _ in found]) if found else np.zeros(0, np.int64)
             r = np.concatenate([r for _, r, _ in found]) if found else np.zeros(0, np.int64)
-            s = np.concatenate([s for _, _, s in found]) if found else np.zeros(0)
+            s = np.concatenate([s for _, _, s in found]) if found else np.zeros(0, np.int64)
             return pa.RecordBatch.from_arrays([pa.array(q.astype(np.int64)), pa.array(r.astype(np.int64)), pa.array(s.astype(np.int64))], names=["query_id", "vec_id", "score"])
 
         for batch in batches:
@@ -175,5 +183,6 @@ def top_k(vectors: DataFrame, queries: Column, k: int = 5, key: str = "vec_id",
             yield out(list(done()))
 
     found = met.mapInArrow(run, "query_id long, vec_id long, score long")
+    found = found.repartition("query_id").dropDuplicates(["query_id", "vec_id", "score"])
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

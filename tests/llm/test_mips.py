@@ -46,6 +46,17 @@ def test_ties_zeros_and_bad_vectors(spark):
     assert mips.top_k(spark.createDataFrame([], "vec_id long, embedding array<float>"), F.lit(True)).count() == 0
 
 
+def test_repeated_rows_and_large_scores(spark):
+    rows = [(3, [1.0, 2.0]), (3, [1.0, 2.0]), (6, [2.0, 2.0]), (6, [2.0, 2.0]), (7, [1.0, 0.5]), (8, [0.5, 0.5]), (8, [4.0, 0.0]), (9, [1.0, 2.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(3)
+    for options in ({}, {"bucket": 2, "block": 1}):
+        got = [(r.query_id, r["rank"], r.vec_id, r.score) for r in mips.top_k(df, F.col("vec_id") == 3, 4, **options).collect()]
+        assert sorted(got) == [(3, 1, 6, 6 << 16), (3, 2, 9, 5 << 16), (3, 3, 8, 4 << 16), (3, 4, 7, 2 << 16)]
+    big = [(1, [2965821.0 + 1 / 256, 1.0]), (2, [2965820.0 + 3 / 256, 3.0]), (3, [7.0, 2965821.0])]
+    df = spark.createDataFrame(big, "vec_id long, embedding array<double>")
+    assert {tuple(r) for r in mips.top_k(df, F.lit(True), 2).collect()} == brute(big, lambda q: True, 2)
+
+
 def test_query(spark, sf):
     rows = [(r.vec_id, r.embedding) for r in spark.read.parquet(f"{sf}/embeddings.parquet").collect()]
     assert {tuple(r) for r in op10_norm_bucket_top_k(spark, sf).collect()} == brute(rows, lambda q: q % 50 == 0, 5)
