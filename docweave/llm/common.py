@@ -79,5 +79,14 @@ def quoted(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def position(df: DataFrame, name: str) -> int:
+    """The place of a column by its name as Spark takes names: in any case, unless several columns differ in case alone."""
+    exact = [i for i, c in enumerate(df.columns) if c == name]
+    found = exact or [i for i, c in enumerate(df.columns) if c.lower() == name.lower()]
+    if len(found) != 1:
+        raise ValueError(f"there is {'no' if not found else 'more than one'} column {name} in {', '.join(df.columns)}")
+    return found[0]
+
+
 def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")

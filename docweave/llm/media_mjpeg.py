@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.types import StructType, _parse_datatype_string
 
-from .common import small_batches
+from .common import position, small_batches
 
 #: Blocks of a frame that pack_bytes writes: 16 across, 12 down, so 192 samples.
 COLS, ROWS = 16, 12
@@ -481,16 +481,17 @@ def pack_avi(df: DataFrame, payload: str, out: str = "media") -> DataFrame:
     """df with `out`: the AVI file that holds the column `payload` (binary or string; null counts as empty).
     It replaces a column of that name."""
 
-    df = df.drop(out)
+    at, kept = position(df, payload), [i for i, c in enumerate(df.columns) if c.lower() != out.lower()]
 
     def run(batches):
         for batch in batches:
-            column = batch.column(batch.schema.get_field_index(payload)).cast(pa.binary())
+            column = batch.column(at).cast(pa.binary())
+            batch = batch.select(kept)
             for a, b in _slices(column):
                 packed = pack_bytes([x or b"" for x in column.slice(a, b - a).to_pylist()])
                 yield _append(batch.slice(a, b - a), {out: pa.array(packed, pa.binary())})
 
-    return small_batches(df).mapInArrow(run, StructType([*df.schema.fields]).add(out, "binary"))
+    return small_batches(df).mapInArrow(run, StructType([df.schema.fields[i] for i in kept]).add(out, "binary"))
 
 
 CLIPS = pa.list_(
@@ -503,11 +504,13 @@ def read_avi(df: DataFrame, media: str = "media") -> DataFrame:
     """df with what its column of AVI files holds: `frames` (number), `samples` (of all frames' DC images, row by row),
     `clips` (timed shots) and `error` (null where all is well). Columns of these names are replaced."""
     new: StructType = _parse_datatype_string(VIDEO_COLUMNS)
-    df = df.drop(*[f.name for f in new])
+    at, own = position(df, media), {f.name for f in new}
+    kept = [i for i, c in enumerate(df.columns) if c.lower() not in own]
 
     def run(batches):
         for batch in batches:
-            column = batch.column(batch.schema.get_field_index(media)).cast(pa.binary())
+            column = batch.column(at).cast(pa.binary())
+            batch = batch.select(kept)
             for a, b in _slices(column):
                 videos = decode_videos(column.slice(a, b - a).to_pylist())
                 yield _append(
@@ -520,10 +523,10 @@ def read_avi(df: DataFrame, media: str = "media") -> DataFrame:
                     },
                 )
 
-    return small_batches(df).mapInArrow(run, StructType(df.schema.fields + new.fields))
+    return small_batches(df).mapInArrow(run, StructType([df.schema.fields[i] for i in kept] + new.fields))
 
 
 def clip_rows(df: DataFrame, media: str = "media") -> DataFrame:
     """One row for each shot of each media row: df's other columns, then the clip's."""
-    others = [c for c in df.columns if c != media]
+    others = [c for c in df.columns if c.lower() != media.lower()]
     return read_avi(df, media).selectExpr(*[f"`{c}`" for c in others], "inline(clips)")

@@ -10,8 +10,9 @@ language is the one whose tree gives it the shortest code; the score is that lan
 
 Counting is a Spark aggregation over a sample of the labelled rows: for each language the `sample_docs`
 rows with the smallest seeded hashes of their keys, texts of at most `sample_bytes` UTF-8 bytes first; longer
-ones are taken whole where there are too few of those. The model is bounded too: `most_contexts` contexts of
-each length, those with the largest share of any language's bytes. Scoring reads every text whole, in Python workers, by table lookups.
+ones are taken whole where there are too few of those. All their contexts are kept. So the model grows with the number of
+languages and is bounded by the sample; it goes to the driver and is broadcast, and beyond MOST_COUNTS counts that
+is refused with an error, not cut. Scoring reads every text whole, in Python workers, by table lookups.
 
 Defined results: null text, or text without a letter, is `und` with score 0, and so is every text if
 nothing was learned. Rows with a null language are not learned from. Repeated rows get equal results.
@@ -27,13 +28,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from .common import Sheltered, small_batches
+from .common import Sheltered, position, small_batches, written
 from .ranking import uniform_hash
 
 ORDER = 3
 SAMPLE_DOCS = 400
 SAMPLE_BYTES = 1 << 16
-MOST_CONTEXTS = 60_000
+#: Counts (of a byte in a context of a language) that the driver takes: some 16 bytes each.
+MOST_COUNTS = 50_000_000
 MOST_LANGUAGES = 500
 #: What stands before a text: its first bytes have a context too.
 BEFORE = b"   "
@@ -45,7 +47,8 @@ SLICE = 1 << 19
 class Model:
     """Code lengths for all languages at once. By length of context:
     ids: context (its bytes as a number) -> its number, 0 if none of the languages has it;
-    escapes: number of context -> escape lengths; pairs, costs: number * 256 + byte -> code lengths, 0 if none has it."""
+    escapes: number of context -> escape lengths; pairs: the number * 256 + byte that some language has, ascending; costs:
+    code lengths by place among the pairs, from 1, and 0 for all others."""
 
     languages: list[str]
     ids: list[np.ndarray]
@@ -103,17 +106,14 @@ def _counted(lang: str, parts: list[bytes]):
         yield pa.RecordBatch.from_arrays([pa.array([lang] * len(values), pa.string()), pa.array(np.full(len(values), order, np.int32)), pa.array(values), pa.array(n.astype(np.int64))], names=["lang", "order", "gram", "n"])
 
 
-def train(docs: DataFrame, lang: str = "lang", key: str = "doc_id", text: str = "text", seed: int = 41, per_language: int = SAMPLE_DOCS, most_bytes: int = SAMPLE_BYTES, most_contexts: int = MOST_CONTEXTS) -> Model | None:
+def train(docs: DataFrame, lang: str = "lang", key: str = "doc_id", text: str = "text", seed: int = 41, per_language: int = SAMPLE_DOCS, most_bytes: int = SAMPLE_BYTES, most_counts: int = MOST_COUNTS) -> Model | None:
     """A model of the languages in docs, or None if there is nothing to learn from. Its bounded counts come to the driver."""
     rows = sample(docs, lang, key, text, seed, per_language, most_bytes)
     counts = small_batches(rows).mapInArrow(_counts, "lang string, order int, gram long, n long").groupBy("lang", "order", "gram").agg(F.sum("n").alias("n"))
-    whole = F.broadcast(counts.groupBy("lang", "order").agg(F.sum("n").alias("n_lang")))  # some rows a language
-    contexts = counts.groupBy("lang", "order", F.shiftright("gram", 8).alias("context")).agg(F.sum("n").alias("n_all"))
-    contexts = contexts.join(whole, ["lang", "order"]).groupBy("order", "context").agg(F.max(F.col("n_all") / F.col("n_lang")).alias("share"))
-    best = Window.partitionBy("order").orderBy(F.desc("share"), "context")
-    kept = contexts.withColumn("_r", F.row_number().over(best)).where(F.col("_r") <= most_contexts).select("order", "context")
-    chosen = counts.withColumn("context", F.shiftright("gram", 8)).join(kept, ["order", "context"], "left_semi").select("lang", "order", "gram", "n")
-    found = chosen.toArrow()
+    counts = written(counts, "context-counts")
+    if (n := counts.count()) > most_counts:
+        raise ValueError(f"the learned-from rows have {n} counts, more than {most_counts}: learn from fewer rows a language, or from shorter ones")
+    found = counts.toArrow()
     if not found.num_rows:
         return None
     names = np.array(found.column("lang").to_pylist(), object)
@@ -143,11 +143,9 @@ def train(docs: DataFrame, lang: str = "lang", key: str = "doc_id", text: str =
         else:
             shorter = np.full((len(pair), size), 8.0)
         bits = np.where(count > 0, -np.log2(np.maximum(count, 1) / (total + kinds)[owner].clip(1)), escape[owner] + shorter)
-        at = np.zeros((len(context) + 1) * 256, np.int32)
-        at[pair] = np.arange(1, len(pair) + 1)
         ids.append(id_of)
         escapes.append(escape.astype(np.float32))
-        pairs.append(at)
+        pairs.append(pair)
         costs.append(np.concatenate([np.zeros((1, size)), bits]).astype(np.float32))
     return Model(languages, ids, escapes, pairs, costs)
 
@@ -155,7 +153,9 @@ def train(docs: DataFrame, lang: str = "lang", key: str = "doc_id", text: str =
 def _lookup(model: Model, context: np.ndarray, byte: np.ndarray, order: int) -> np.ndarray:
     """Code lengths (rows by languages) of bytes in contexts of `order` bytes."""
     number = model.ids[order][context]
-    row = model.pairs[order][number.astype(np.int64) * 256 + byte]
+    pairs, wanted = model.pairs[order], number.astype(np.int64) * 256 + byte
+    row = np.searchsorted(pairs, wanted)
+    row = np.where(pairs[np.minimum(row, len(pairs) - 1)] == wanted, row + 1, 0)
     out = model.costs[order][row]
     missed = np.flatnonzero(row == 0)
     if len(missed):
@@ -209,13 +209,14 @@ def predict(df: DataFrame, model: Model | None, text: str = "text", reject: bool
     df = held.df
     if model is None:
         return held.restored(df.withColumns({"lang_pred": F.lit("und"), "score": F.lit(0.0)}), ("lang_pred", "score"))
+    at = position(df, text)
     shared = df.sparkSession.sparkContext.broadcast(pack(model))
     flagged = df.withColumn("_letter", has_letter(F.col(text)))
 
     def run(batches):
         m = unpacked(shared.value)  # for this task; a worker that goes on to other work holds no model
         for batch in batches:
-            column, letter = batch.column(batch.schema.get_field_index(text)), batch.column(batch.num_columns - 1).to_pylist()
+            column, letter = batch.column(at), batch.column(batch.num_columns - 1).to_pylist()
             names, scores = ["und"] * batch.num_rows, [0.0] * batch.num_rows
             todo, held = [], 0
             for i in range(batch.num_rows + 1):
@@ -247,10 +248,9 @@ def known_languages(df: DataFrame, model: Model | None, text: str = "text") -> D
 
 
 def pack(model: Model) -> tuple:
-    """Of the lookup arrays only the used places: what is broadcast is in proportion to the model, at most
-    most_contexts contexts of each length."""
+    """Of the lookup arrays only the used places: what is broadcast is in proportion to the counts."""
     sparse = lambda a: (len(a), np.flatnonzero(a), a[a != 0])
-    return model.languages, [sparse(a) for a in model.ids], model.escapes, [sparse(a) for a in model.pairs], model.costs
+    return model.languages, [sparse(a) for a in model.ids], model.escapes, model.pairs, model.costs
 
 
 def unpacked(packed: tuple) -> Model:
@@ -261,4 +261,4 @@ def unpacked(packed: tuple) -> Model:
         out[part[1]] = part[2]
         return out
 
-    return Model(languages, [dense(x) for x in ids], escapes, [dense(x) for x in pairs], costs)
+    return Model(languages, [dense(x) for x in ids], escapes, pairs, costs)

@@ -15,6 +15,7 @@ def op1_motion_jpeg(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce(F.encode("text", "utf-8"), F.lit(b"")).alias("payload"))
     packed = media_mjpeg.pack_avi(docs, "payload").select("doc_id", F.octet_length("payload").cast("long").alias("n_bytes"), "media")
     read = media_mjpeg.read_avi(packed)
+    read = read.withColumn("samples", F.when(F.col("error").isNull(), F.col("samples")).otherwise(F.raise_error(F.concat(F.lit("a file could not be read: "), F.col("error"))).cast("binary")))
     data = F.col("samples")
     clips = F.transform("clips", lambda c: F.format_string("%d+%d:%.4f/%.2f", c["first_frame"], c["n_frames"], c["strength"], c["mean_level"]))
     return read.select(

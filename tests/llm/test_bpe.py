@@ -43,6 +43,21 @@ def test_nulls_and_clashes(spark):
     assert bpe.bpe_encode(df.where("false")).count() == 0
 
 
+def test_names_and_patterns(spark):
+    df = spark.createDataFrame([(1, "hello world", "x")], "Id long, Text string, last string")
+    assert list(bpe.bpe_encode(df, "text").collect()[0].ids) == LIBRARY.encode_ordinary("hello world")
+    own = bpe.bpe_encode(df, out="TEXT")
+    assert own.columns == ["Id", "last", "TEXT"] and list(own.collect()[0].TEXT) == LIBRARY.encode_ordinary("hello world")
+    assert bytes(bpe.bpe_decode(own, "text", "text").collect()[0].text) == b"hello world"
+    with pytest.raises(ValueError, match="no column"):
+        bpe.bpe_encode(df, "none")
+    pattern = r"\s*[\r\n]+|\w+|[^\w\s]+|\s+"
+    with pytest.raises(ValueError, match="look"):
+        bpe.bpe_encode(df, pattern=pattern)
+    text = "a\n      \nb" * 50
+    assert bpe.Coder(bpe.default_vocabulary()[0], pattern, 12).pieces(text, 8) == CODE.__class__(bpe.default_vocabulary()[0], pattern).match(text)
+
+
 def test_query(spark, sf):
     texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
     for r in op4_byte_bpe(spark, sf).collect():

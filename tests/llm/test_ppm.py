@@ -100,15 +100,17 @@ def test_long_labelled_texts_are_learned_after_the_short_ones(spark, monkeypatch
         assert ppm.code_lengths(model, [t.encode()])[0] == pytest.approx([brute_bits(training, t, x) for x in model.languages], rel=1e-4)
 
 
-def test_contexts_of_a_language_with_few_texts_stay(spark):
+def test_all_contexts_are_kept_and_too_many_are_refused(spark):
     rng = random.Random(6)
     rows = [(i, " ".join("".join(rng.choices("abcdefghijklmnop", k=5)) for _ in range(80)), "xx") for i in range(50)] + [(99, "wurzyvuz", "yy")]
-    model = ppm.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"), most_contexts=300)
-    for order in (2, 3):
-        data = ppm.BEFORE + b"wurzyvuz"
-        for i in range(3, len(data)):
-            assert model.ids[order][int.from_bytes(data[i - order : i], "big")] > 0
-        assert np.count_nonzero(model.ids[order]) <= 300
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = ppm.unpacked(ppm.pack(ppm.train(df)))
+    for _, text, _ in rows:
+        data = ppm.BEFORE + text.encode()
+        for order in (1, 2, 3):
+            assert all(model.ids[order][int.from_bytes(data[i - order : i], "big")] for i in range(3, len(data)))
+    with pytest.raises(ValueError, match="fewer rows"):
+        ppm.train(df, most_counts=300)
 
 
 def test_query_on_held_out_documents(spark, sf):
