@@ -7,7 +7,7 @@ import tiktoken
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from docweave.llm import bpe
+from docweave.llm import bpe, mixing
 from test_minhash import brute
 from test_mixing import water, words
 
@@ -66,7 +66,11 @@ def expected_copies(spark, docs):
 def test_run_against_brute_force(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet").collect()
     known, kept, copies = expected_copies(spark, docs)
-    got = corpus_pipeline.run(spark, sf).select("doc_id", "lang", "source").collect()
+    got = corpus_pipeline.run(spark, sf).select("doc_id", "lang", "source", "file", "row").collect()
+    assert len({(r.file, r.row) for r in got}) == len(got)
+    mixed = mixing.mix(corpus_pipeline.near_dedup(spark, corpus_pipeline.language_id(spark, spark.read.parquet(f"{sf}/documents.parquet"), sf), sf))
+    order = sorted((p, r.doc_id) for r in mixed.select("doc_id", "positions").collect() for p in r.positions)
+    assert [r.doc_id for r in sorted(got, key=lambda r: (r.file, r.row))] == [i for _, i in order]
     assert Counter(r.doc_id for r in got) == copies
     by_id = {r.doc_id: (r.lang, r.source) for r in docs}
     assert all((r.lang, r.source) == by_id[r.doc_id] for r in got)
