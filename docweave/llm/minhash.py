@@ -15,13 +15,11 @@
    values it has in common with others. The sketch of the union (the k smallest of both) estimates the
    overlap, what is not hopeless is verified on the full sets, and documents of one component of these
    links need not meet one another. A group of thousands of near copies costs a few pairs a document.
-4. The rest: links between documents of different components. In a list of at most LONG documents all such pairs meet,
-   if sizes and shares in common allow a link; so pairs grow with the entries. In longer lists, where documents
-   have stock passages in common, single values say little. Their documents are listed anew under groups of
-   values: of the values below a cut that both sketches of a pair of like sizes retain, the GROUP first by each of GROUPS
-   further hashes. A pair of similarity s shares each group with chance s^GROUP, and meets by IN_COMMON of them: linked pairs
-   do but for a chance of about 2 CHANCE at 0.8, documents that share a third of their passages (0.2) in 3 of a million cases. All
-   pairs are estimated and verified in the same way.
+4. The rest: links between documents of different components. Pairs of a list meet if sizes, shares in common and the
+   places of their first common value allow a link, and if a signature of each whole set does: BITS
+   bits, each one of the smallest of the set's values under a further hash, agree in a share of (1 + similarity) / 2
+   on average. The signature is compared within the join, so documents that have stock passages in common, and so
+   long lists, but no link make no pairs. What is left is estimated and verified in the same way.
 5. Components of the components by these links: labels spread along links and through labels until none changes.
    Where rows share a doc_id, the groups that an id has rows in are joined in the same way.
 
@@ -58,11 +56,9 @@ REMEMBERED = 300_000
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 #: With which a linked pair falls below a bound on shared values.
 CHANCE = 1e-7
-#: Documents of a list that all meet one another; beyond that: values of a group, groups of a document, and how many a pair has in common.
-LONG = 16
-GROUP = 7
-GROUPS = 192
-IN_COMMON = 2
+#: Bits of a set's signature, a multiple of 64.
+BITS = 256
+SIGNATURE = [f"bits{i}" for i in range(BITS // 64)]
 
 
 class _Hashes(dict):
@@ -91,6 +87,19 @@ def shingle_set(data: bytes, hashes: dict, words: int = WORDS) -> np.ndarray:
     return np.unique(out)
 
 
+def signature(values: np.ndarray) -> np.ndarray:
+    """Bits of a set's signature, as longs; those of sets of similarity s agree each with chance (1 + s) / 2."""
+    least = np.full(BITS, ~np.uint64(0))
+    number = np.arange(1, BITS + 1, dtype=np.uint64) * MULTIPLIER
+    for at in range(0, len(values), 1024):
+        h = (values[None, at : at + 1024] ^ number[:, None]) * np.uint64(0xBF58476D1CE4E5B9)
+        h ^= h >> np.uint64(31)
+        h *= np.uint64(0x94D049BB133111EB)
+        np.minimum(least, h.min(1), out=least)
+    # the lowest bit of a product by an odd number is that of its first factor: a middle bit is mixed
+    return np.packbits(((least >> np.uint64(17)) & np.uint64(1)).astype(np.uint8)).view(np.int64)
+
+
 def _signed(values: np.ndarray) -> np.ndarray:
     """Longs in the order of the unsigned values."""
     return (values ^ np.uint64(1 << 63)).view(np.int64)
@@ -98,14 +107,14 @@ def _signed(values: np.ndarray) -> np.ndarray:
 
 def sketches(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, k: int = K, with_body: bool = False, also: tuple = ()) -> DataFrame:
     """key, n (size of the set), sig (128-bit digest of the set; null if empty), sketch (k smallest values, ascending);
-    with_body: also the text's UTF-8 bytes, lower-cased and compressed; also: columns of docs that go with each row."""
+    with_body: also the text's UTF-8 bytes, lower-cased and compressed, and the set's signature; also: columns of docs that go with each row."""
 
     def run(batches):
         hashes, squeeze = _Hashes(), zstandard.ZstdCompressor(level=3)
         for whole in batches:
             for at in range(0, whole.num_rows, 1000):
                 batch = whole.slice(at, 1000)
-                ns, sigs, flat, ends, bodies = [], [], [], [0], []
+                ns, sigs, flat, ends, bodies, bits = [], [], [], [0], [], []
                 for t in batch.column(1):
                     data = (t.as_py() or "").encode("utf-8", "replace").lower()
                     s = shingle_set(data, hashes, words)
@@ -115,13 +124,15 @@ def sketches(docs: DataFrame, key: str = "doc_id", text: str = "text", words: in
                     ends.append(ends[-1] + min(len(s), k))
                     if with_body:
                         bodies.append(squeeze.compress(data))
+                        bits.append(signature(s))
                 sketch = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(flat)))
                 columns = {"key": batch.column(0), "n": pa.array(ns, pa.int32()), "sig": pa.array(sigs, pa.binary()), "sketch": sketch}
-                columns |= {"body": pa.array(bodies, pa.binary())} if with_body else {}
+                if with_body:
+                    columns |= {"body": pa.array(bodies, pa.binary())} | {c: pa.array(x) for c, x in zip(SIGNATURE, np.stack(bits, 1), strict=True)}
                 yield pa.RecordBatch.from_pydict(columns | {c: batch.column(2 + i) for i, c in enumerate(also)})
 
     rows = small_batches(docs).select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"), *also)
-    schema = StructType.fromDDL("key long, n int, sig binary, sketch array<long>" + (", body binary" if with_body else ""))
+    schema = StructType.fromDDL("key long, n int, sig binary, sketch array<long>" + ("".join([", body binary", *[f", {c} long" for c in SIGNATURE]]) if with_body else ""))
     return rows.mapInArrow(run, StructType([*schema.fields, *rows.schema.fields[2:]]))
 
 
@@ -256,10 +267,10 @@ def _groups(docs: DataFrame, key: str, text: str, words: int, percent: int, k: i
     if reps.select("key").distinct().count() < reps.count():  # repeated rows: one of them stands in the lists
         reps = written(reps.dropDuplicates(["key"]), "candidates")
 
-    listed = _common(reps, ("key", "n", "alpha")).where(F.size("shared") >= F.col("alpha"))
+    listed = _common(reps, ("key", "n", "alpha", *SIGNATURE)).where(F.size("shared") >= F.col("alpha"))
     room = F.greatest(F.size("shared") - F.col("alpha") + 1, F.lit(0))
-    lists = listed.select("key", "n", F.size("shared").alias("c"), "r", F.posexplode(F.slice("shared", 1, room)).alias("i", "x"))
-    lists = lists.select("key", "n", "c", "r", (F.col("r") - F.col("c") + F.col("i") + 1).alias("place"), F.col("x.value").alias("value"))
+    lists = listed.select("key", "n", *SIGNATURE, F.size("shared").alias("c"), "r", F.posexplode(F.slice("shared", 1, room)).alias("i", "x"))
+    lists = lists.select("key", "n", *SIGNATURE, "c", "r", (F.col("r") - F.col("c") + F.col("i") + 1).alias("place"), F.col("x.value").alias("value"))
     lists = written(lists, "lists")
 
     centre = lists.groupBy("value").agg(F.max(F.struct((F.col("c") / F.col("r")).alias("share"), (-F.col("key")).alias("key"))).alias("m"), F.count("*").alias("many")).where("many > 1")
@@ -269,11 +280,9 @@ def _groups(docs: DataFrame, key: str, text: str, words: int, percent: int, k: i
     own = components(first).select(F.col("key"), F.col("label").alias("centre"))
     placed = lists.join(own, "key", "left").withColumn("centre", F.coalesce("centre", "key"))
     # lists whose documents all have one centre make no pairs; the others lose only pairs within a centre
-    mixed = placed.groupBy("value").agg(F.min("centre").alias("low"), F.max("centre").alias("high"), F.count("*").alias("many")).where("low < high").select("value", "many")
-    placed = written(placed.join(mixed, "value"), "placed")
-    rest = _short_lists(placed.where(F.col("many") <= LONG), percent, k, t)
-    hot = placed.where(F.col("many") > LONG).select("key", "centre").distinct()
-    rest = rest.union(_long_lists(hot.join(reps.select("key", "n", "sketch"), "key"), percent, k, t)).distinct()
+    mixed = placed.groupBy("value").agg(F.min("centre").alias("low"), F.max("centre").alias("high")).where("low < high").select("value")
+    placed = written(placed.join(mixed, "value", "left_semi"), "placed")
+    rest = _pairs_of_lists(placed, percent, k, t).distinct()
     second = written(verified(_hopeful(rest, reps, k, t), reps, words, percent), "rest")
 
     # links between stars join their components; what lies within one is known already
@@ -285,15 +294,25 @@ def _groups(docs: DataFrame, key: str, text: str, words: int, percent: int, k: i
     return base, written(grouped, "groups")
 
 
-def _short_lists(placed: DataFrame, percent: int, k: int, t: float) -> DataFrame:
-    """Pairs (a, b) of documents of one list, with different centres, that sizes and places let be linked."""
+def _common(reps: DataFrame, columns: tuple) -> DataFrame:
+    """columns, r (size of the sketch), shared: the (df, value) of those sketch values that several documents retain, rare first."""
+    entries = reps.select("key", F.explode("sketch").alias("value"))
+    often = entries.groupBy("value").agg(F.count("*").alias("df")).where("df > 1")
+    shared = entries.join(often, "value").groupBy("key").agg(F.sort_array(F.collect_list(F.struct("df", "value"))).alias("shared"))  # at most k values
+    return reps.select(*columns, F.size("sketch").alias("r")).join(shared, "key")
+
+
+def _pairs_of_lists(placed: DataFrame, percent: int, k: int, t: float) -> DataFrame:
+    """Pairs (a, b) of documents of one list, with different centres, that sizes, places and signatures let be linked."""
     own_values = placed.groupBy("key").agg(F.transform(F.sort_array(F.collect_list(F.struct("place", "value"))), lambda v: v["value"]).alias("values"))  # at most k
     placed = placed.join(own_values, "key")
     x, y = placed.alias("x"), placed.alias("y")
     # the first value that linked sketches share has the others they must share behind it, in both; a pair meets there alone
     need = _pair_shares(F.col("x.n"), F.col("y.n"), k, t)
     fits = (F.least("x.c", "y.c") >= need) & (F.col("x.place") <= F.col("x.r") - need + 1) & (F.col("y.place") <= F.col("y.r") - need + 1)
-    meets = (F.col("x.value") == F.col("y.value")) & (F.col("x.key") < F.col("y.key")) & (F.col("x.centre") != F.col("y.centre")) & _like("x.n", "y.n", percent) & fits
+    differ = sum((F.bit_count(F.col(f"x.{b}").bitwiseXOR(F.col(f"y.{b}"))) for b in SIGNATURE), F.lit(0))
+    alike = differ <= BITS - least_shared(BITS, (1 + t) / 2)
+    meets = (F.col("x.value") == F.col("y.value")) & (F.col("x.key") < F.col("y.key")) & (F.col("x.centre") != F.col("y.centre")) & alike & _like("x.n", "y.n", percent) & fits
     met = x.join(y, meets & (F.get(F.array_intersect("x.values", "y.values"), F.lit(0)) == F.col("x.value")))
     return met.select(F.col("y.key").alias("a"), F.col("x.key").alias("b"))
 
@@ -302,70 +321,6 @@ def _like(a: str, b: str, percent: int) -> Column:
     return F.least(a, b) * 100 >= F.greatest(a, b) * percent
 
 
-def _long_lists(docs: DataFrame, percent: int, k: int, t: float) -> DataFrame:
-    """Pairs (a, b) of documents (key, centre, n, sketch) with different centres that have IN_COMMON groups of values in common."""
-
-    def run(batches):
-        for batch in batches:
-            keys, ns, owns, meets = [], [], [], []
-            for i, n, sketch in zip(batch.column(0), batch.column(1).to_pylist(), batch.column(2), strict=True):
-                values = np.asarray(sketch.values).view(np.uint64) ^ np.uint64(1 << 63)
-                for own, found in value_groups(values, n, k, t):
-                    meets.append(found.view(np.int64))
-                    owns.append(np.full(len(found), own))
-                    keys.append(np.full(len(found), i.as_py()))
-                    ns.append(np.full(len(found), n, np.int32))
-            if keys:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (keys, ns, owns, meets)], names=["key", "n", "own", "meet"])
-
-    groups = small_batches(docs.select("key", "n", "sketch")).mapInArrow(run, "key long, n int, own boolean, meet long").join(docs.select("key", "centre"), "key")
-    several = groups.groupBy("meet").agg(F.min("centre").alias("low"), F.max("centre").alias("high")).where("low < high").select("meet")
-    groups = written(groups.join(several, "meet", "left_semi"), "value-groups")
-    # centres meet first: documents of one centre, however many, are not compared with one another
-    centres = groups.select("meet", "centre").distinct()
-    both = centres.alias("x").join(centres.alias("y"), (F.col("x.meet") == F.col("y.meet")) & (F.col("x.centre") < F.col("y.centre"))).select("x.meet", F.col("x.centre").alias("cx"), F.col("y.centre").alias("cy"))
-    x = groups.select("meet", F.col("centre").alias("cx"), F.col("key").alias("kx"), F.col("n").alias("nx"), F.col("own").alias("ox"))
-    y = groups.select("meet", F.col("centre").alias("cy"), F.col("key").alias("ky"), F.col("n").alias("ny"), F.col("own").alias("oy"))
-    # in the class of the larger one alone
-    met = both.join(x, ["meet", "cx"]).join(y, ["meet", "cy"]).where(_like("nx", "ny", percent) & (F.col("ox") | F.col("oy")))
-    pairs = met.groupBy(F.greatest("kx", "ky").alias("a"), F.least("kx", "ky").alias("b")).agg(F.countDistinct("meet").alias("many"))
-    return pairs.where(F.col("many") >= IN_COMMON).select("a", "b")
-
-
-def value_groups(values: np.ndarray, n: int, k: int, t: float) -> list[tuple[bool, np.ndarray]]:
-    """Numbers of a set's groups in its own size class, and in the next. Two sets whose sizes allow a link are of one class or
-    of classes side by side, so they meet in the larger one's. Within a class all sets keep the values below one cut, which the k
-    smallest of its largest set hold (but for some 5 standard deviations), so that the chance of a common group is that of the whole sets' similarity."""
-    out = []
-    own = math.floor(math.log(max(n, 1)) / -math.log(t) + 1e-9)
-    for c in (own, own + 1):
-        largest = t ** -(c + 1)
-        cut = 1.0 if largest <= k else (k - 5 * math.sqrt(k)) / largest
-        held = values if cut == 1.0 else values[values < np.uint64(int(cut * 2.0**64))]
-        if not len(held):
-            continue
-        number = np.arange(1, GROUPS + 1, dtype=np.uint64) * MULTIPLIER
-        h = (held[None, :] ^ number[:, None]) * np.uint64(0xBF58476D1CE4E5B9)
-        h ^= h >> np.uint64(31)
-        h *= np.uint64(0x94D049BB133111EB)
-        m = min(GROUP, len(held))
-        first = np.sort(np.partition(h, m - 1, axis=1)[:, :m], axis=1)
-        acc = number ^ np.uint64(c)
-        for i in range(m):
-            acc = (acc ^ first[:, i]) * MULTIPLIER
-            acc ^= acc >> np.uint64(29)
-        out.append((c == own, acc))
-    return out
-
-
-def _common(reps: DataFrame, columns: tuple) -> DataFrame:
-    """columns, r (size of the sketch), shared: the (df, value) of those sketch values that several documents retain, rare first."""
-    entries = reps.select("key", F.explode("sketch").alias("value"))
-    often = entries.groupBy("value").agg(F.count("*").alias("df")).where("df > 1")
-    shared = entries.join(often, "value").groupBy("key").agg(F.sort_array(F.collect_list(F.struct("df", "value"))).alias("shared"))  # at most k values
-    return reps.select(*columns, F.size("sketch").alias("r")).join(shared, "key")
-
-
 def _pair_shares(a: Column, b: Column, k: int, t: float) -> Column:
     """Retained values that linked sets of sizes a and b share at least: t / (1 + t) of both sizes where both sets are
     whole, else that share of the larger one's k values, but for CHANCE."""

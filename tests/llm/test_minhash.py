@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 
 from docweave.llm import minhash
@@ -136,9 +137,8 @@ def test_pairs_grow_with_the_documents_where_all_share_stock_passages(spark, mon
 
 
 @pytest.mark.parametrize("percent", [80, 85])
-def test_links_in_long_lists_are_found(spark, monkeypatch, percent):
-    """All lists count as long, and near copies of documents of stock passages differ by some words."""
-    monkeypatch.setattr(minhash, "LONG", 1)
+def test_links_in_long_lists_are_found(spark, percent):
+    """Near copies of documents of stock passages differ by some words."""
     rng = random.Random(7)
     rows = blocks(5, 60)
     for i, text in rows[:50]:
@@ -146,5 +146,14 @@ def test_links_in_long_lists_are_found(spark, monkeypatch, percent):
         for _ in range(rng.randint(1, 24)):
             words[rng.randrange(len(words))] = f"new{rng.random()}"
         rows.append((100 + i, " ".join(words[: rng.randint(1100, 1200)])))
-    rows += [(500 + i, t) for i, t in corpus(11, 8, 8)] if percent == 80 else []
     check(minhash.near_duplicates(spark.createDataFrame(rows, SCHEMA), percent=percent).collect(), rows, percent)
+
+
+def test_signatures_agree_by_similarity():
+    rng = np.random.default_rng(2)
+    agree = []
+    for _ in range(40):
+        values = rng.integers(0, 1 << 64, 3000, dtype=np.uint64)
+        a, b = (minhash.signature(x) for x in (np.sort(values[:2700]), np.sort(values[300:])))
+        agree.append(1 - np.unpackbits((a ^ b).view(np.uint8)).mean())
+    assert abs(np.mean(agree) - 0.9) < 0.02 and min(agree) * minhash.BITS >= minhash.least_shared(minhash.BITS, 0.9)
