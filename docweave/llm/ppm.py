@@ -37,6 +37,9 @@ SAMPLE_BYTES = 1 << 16
 #: Counts (of a byte in a context of a language) that the driver takes: some 16 bytes each.
 MOST_COUNTS = 50_000_000
 MOST_LANGUAGES = 500
+#: A text is noise to all languages if its shortest code passes so many bits a byte, a quarter more than plain bytes take, and
+#: so many bits in all: a short text with a key or a number in it stays.
+NOISE_BITS, SLACK_BITS = 10, 64
 #: What stands before a text: its first bytes have a context too.
 BEFORE = b"   "
 #: Bytes whose code lengths are worked out at once; longer texts go by parts.
@@ -203,8 +206,8 @@ def has_letter(text: Column) -> Column:
 
 
 def predict(df: DataFrame, model: Model | None, text: str = "text", reject: bool = False) -> DataFrame:
-    """df with lang_pred and score; columns of these names are replaced. No rows move. With reject, a text that no tree
-    codes in less than 8 bits a byte is `und` too."""
+    """df with lang_pred and score; columns of these names are replaced. No rows move. With reject, a text that is
+    noise to all languages (NOISE_BITS, SLACK_BITS) is `und` too."""
     held = Sheltered(df, {"lang_pred", "score", "_letter"}, {text})
     df = held.df
     if model is None:
@@ -225,7 +228,7 @@ def predict(df: DataFrame, model: Model | None, text: str = "text", reject: bool
                     best = bits.argmin(1)
                     share = 1 / np.exp2(np.minimum(bits[np.arange(len(bits)), best][:, None] - bits, 0)).sum(1)
                     for (j, t), k, s, least in zip(todo, best.tolist(), share.tolist(), bits.min(1).tolist(), strict=True):
-                        if not reject or least < 8 * len(t):
+                        if not reject or least < NOISE_BITS * len(t) + SLACK_BITS:
                             names[j], scores[j] = m.languages[k], s
                     todo, held = [], 0
                 if i < batch.num_rows and letter[i]:
@@ -239,8 +242,8 @@ def predict(df: DataFrame, model: Model | None, text: str = "text", reject: bool
 
 
 def known_languages(df: DataFrame, model: Model | None, text: str = "text") -> DataFrame:
-    """The rows of df in which a language is found, with df's columns alone: those with a letter whose text the best
-    language codes in less than 8 bits a byte. If nothing was learned, all rows with a letter."""
+    """The rows of df in which a language is found, with df's columns alone: those with a letter whose text is not noise to
+    all of them (NOISE_BITS, SLACK_BITS). If nothing was learned, all rows with a letter."""
     if model is None:
         return df.where(has_letter(F.col(text)))
     held = Sheltered(df, {"lang_pred", "score"}, {text})

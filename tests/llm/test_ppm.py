@@ -75,6 +75,9 @@ def test_known_languages_rejects_by_code_length(spark, sf):
     kept = {r.doc_id for r in ppm.known_languages(docs.unionByName(extra), model).collect()}
     assert kept == {r.doc_id for r in docs.collect()}
     assert {r.lang_pred for r in ppm.predict(extra.where("doc_id >= -4"), model).collect()} <= set(model.languages)
+    words = docs.where("lang = 'en'").orderBy("doc_id").first().text.split()[:4]
+    short = spark.createDataFrame([(1, f"{' '.join(words)} XKJQ7ZWV0PQXH9JZKW2F", None), (2, words[0], None)], docs.schema)
+    assert ppm.known_languages(short, model).count() == 2  # a key in a short text is not noise
     assert sorted(r.doc_id for r in ppm.known_languages(extra, ppm.train(extra)).collect()) == [-4, -3, -2, -1]
 
 
