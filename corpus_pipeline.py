@@ -15,7 +15,7 @@ from docweave.llm.common import written
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in which no language is found go: no letter, or no learned language codes the text in less than 8 bits a byte."""
+    """Documents in which no language is found go: no letter, or the text is noise to every learned language."""
     return ppm.known_languages(docs, ppm.train(docs))
 
 
