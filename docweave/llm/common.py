@@ -17,11 +17,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where it is unset."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    """The folder that driver and executors share, spark.checkpoint.dir. Where it is unset, a local session has a temporary folder
+    of its own; on a cluster that is an error, as no machine's own folder is seen by the others."""
+    root, context = spark.conf.get("spark.checkpoint.dir", None), spark.sparkContext
     if not root:
-        root = "file://" + tempfile.mkdtemp(prefix="docweave-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        if context.master.split("[")[0] != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        root = context._docweave_shared = getattr(context, "_docweave_shared", None) or "file://" + tempfile.mkdtemp(prefix="docweave-")
     return root.rstrip("/")
 
 
