@@ -60,3 +60,30 @@ def test_repeated_rows_and_large_scores(spark):
 def test_query(spark, sf):
     rows = [(r.vec_id, r.embedding) for r in spark.read.parquet(f"{sf}/embeddings.parquet").collect()]
     assert {tuple(r) for r in op10_norm_bucket_top_k(spark, sf).collect()} == brute(rows, lambda q: q % 50 == 0, 5)
+
+
+def test_buckets_travel_only_to_blocks_that_need_them(spark, monkeypatch):
+    """A few long vectors answer all queries: the many short ones reach no block."""
+    rng = random.Random(9)
+    rows = [(i, [rng.gauss(0, 1) * (1 if i >= 40 else 1000) for _ in range(4)]) for i in range(600)]
+    met = []
+    answers = mips._answers
+
+    def counted(k):
+        inner = answers(k)
+
+        def run(batches):
+            batches = list(batches)
+            seen = sum(b.num_rows for b in batches)
+            if seen > 2:
+                raise ValueError(f"{seen} buckets came")
+            yield from inner(batches)
+
+        met.append(k)
+        return run
+
+    monkeypatch.setattr(mips, "_answers", counted)
+    monkeypatch.setattr(mips, "RUN", 1000)
+    rows += [(1000, [1.0, 1.0, 1.0, 1.0])]
+    check(spark, rows, every=1000, bucket=40, block=64)
+    assert met == [5]
