@@ -52,6 +52,20 @@ def test_colliding_digests_are_told_apart(spark, monkeypatch):
     assert rules.find(["com/", "net/", "org/"], [3, 3, 3]).tolist() == [0, 1, -1]
 
 
+def test_a_url_is_looked_up_with_the_lengths_of_its_hosts_rules_only(spark, tmp_path):
+    """Many path lengths at one host cost the urls of others nothing; very long urls and repeated rows are judged whole."""
+    rules = [("big.com", "/" + "x" * n, "block" if n % 2 else "allow") for n in range(60)] + [("net", "/a", "block")]
+    long = "http://www.big.com/" + "x" * 50_000
+    check(spark, [long, long, "http://net/a", "http://q.net/ab", "http://other.org/" + "x" * 99], rules)
+    path = urls.build_rules(spark.createDataFrame(rules, "host string, path string, verdict string"), f"file://{tmp_path}/rules")
+    shards = spark.read.json(f"{path}/manifest", schema=urls.MANIFEST).collect()
+    found = urls.Rules(path, tuple((r.kind, r.name, int(r.low), int(r.high)) for r in shards), 0)
+    asked = []
+    find = found.find
+    found.find = lambda strings, sizes: asked.extend(strings) or find(strings, sizes)
+    assert found.judge(["a.net", "other.org"], ["/" + "a" * 99] * 2) == [("net/a", 1), None] and asked == ["net/a"]
+
+
 def test_no_rules_and_no_rows(spark):
     check(spark, ["http://a.com/", None], [(None, "/", "block")])
     path = urls.build_rules(spark.createDataFrame([("com", None, "block"), ("com", "", "allow")], "host string, path string, verdict string"), shared_path(spark, "rules-test"))
