@@ -32,6 +32,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, EqualTo, In, InputPartition, StringStartsWith, WriterCommitMessage
 
+from .common import written
+
 NAME = "docweave_warc"
 SCHEMA = "record_id string, record_type string, target_uri string, date string, payload_digest string, refers_to_id string, http_length long, payload binary"
 WRITE_SCHEMA = "record_id string, record_type string, target_uri string, date string, refers_to_id string, payload binary"
@@ -301,18 +303,32 @@ def write_warc(df: DataFrame, path: str, **options) -> None:
     df.select(*names).write.format(NAME).mode("append").options(path=path, **options).save()
 
 
+#: At most so many payloads are joined by broadcast.
+HOT_SHARE = 1000
+
+
 def page_records(pages: DataFrame, revisit_bytes: int = 1000, date: str = "2024-01-01T00:00:00Z") -> DataFrame:
     """Records for pages (page_id, url, html): of those with equal payloads of at least `revisit_bytes`,
     the one with the largest page_id is the response and the others revisit it.
 
     The largest id of each payload is found by digest, counted before the shuffle, so a payload that a third of
-    the pages share costs one row a task. Small payloads get join keys of their own, which meet nothing."""
+    the pages share costs one row a task. Payloads that a 1 / HOT_SHARE of all repeated rows or more have, HOT_SHARE at most, are joined by
+    broadcast, where their rows lie; so no key of the join that moves payloads has more than that share. Rows that
+    repeat no payload get join keys of their own, which meet nothing.
+
+    Defined results: a null html is empty; a null url gives a null target; a row with a null page_id is a response, and never the one that others
+    revisit while one of them has an id; of equal payloads under one largest page_id, each such row is a response."""
     body = F.coalesce(F.encode("html", "utf-8"), F.lit(b""))
     own = pages.select("page_id", "url", body.alias("payload"))
     large = F.octet_length("payload") >= revisit_bytes
-    keyed = own.withColumn("digest", F.when(large, F.sha1("payload")).otherwise(F.concat(F.lit("#"), F.coalesce(F.col("page_id").cast("string"), F.lit("")))))
-    last = keyed.where(large).groupBy("digest").agg(F.max("page_id").alias("last"), F.count("*").alias("n")).where("n > 1").select("digest", "last")
-    joined = keyed.join(last, "digest", "left")
+    keyed = own.withColumn("digest", F.when(large, F.sha1("payload")))
+    last = written(keyed.where(large).groupBy("digest").agg(F.max("page_id").alias("last"), F.count("*").alias("n")).where("n > 1 and last is not null"), "revisits")
+    total = last.agg(F.sum("n")).first()[0] or 0
+    often = F.col("n") * HOT_SHARE >= total
+    hot = F.broadcast(last.where(often).select("digest", F.col("last").alias("hot_last")))
+    spread = F.concat(F.lit("#"), F.xxhash64("page_id", "url", "payload").cast("string"))
+    near = keyed.join(hot, "digest", "left").withColumn("digest", F.when(F.col("hot_last").isNull() & F.col("digest").isNotNull(), F.col("digest")).otherwise(spread))
+    joined = near.join(last.where(~often).select("digest", "last"), "digest", "left").withColumn("last", F.coalesce("hot_last", "last"))
     repeated = F.col("last") > F.col("page_id")
     name = lambda c: F.concat(F.lit("urn:page:"), c.cast("string"))
     return joined.select(

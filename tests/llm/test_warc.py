@@ -95,3 +95,23 @@ def test_a_cut_file_is_an_error_whatever_is_read(spark, tmp_path):
     for options, where in (({}, "true"), ({"payload": "false"}, "true"), ({}, "record_type = 'revisit'"), ({"payload": "false"}, "record_id = 'r0'")):
         with pytest.raises(Exception, match="cut off"):
             warc.read_warc(spark, path, **options).where(where).collect()
+
+
+@pytest.mark.parametrize("share", [1, 3, 1000])
+def test_payloads_that_many_pages_share(spark, monkeypatch, share):
+    """A third of the pages have one payload, others two; ids are null or repeat. Whether a payload is joined by broadcast makes no difference."""
+    monkeypatch.setattr(warc, "HOT_SHARE", share)
+    body = lambda i: "x" * 1500 if i % 3 == 0 else f"{i // 2}" * 800 if i % 3 == 1 else f"{i}"
+    rows = [(None if i % 10 == 9 else i // 2 if i > 110 else i, f"http://a/{i}", body(i)) for i in range(120)] + [(None, None, None)] * 3
+    got = warc.page_records(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    last = {}
+    for i, _, text in rows:
+        if i is not None and len(text) >= 1000:
+            last[text] = max(i, last.get(text, i))
+    want = []
+    for i, url, text in rows:
+        first = last.get(text) if i is not None else None
+        refers = f"urn:page:{first}" if first is not None and first > i else None
+        want.append((f"urn:page:{'' if i is None else i}", "revisit" if refers else "response", url, refers, (text or "").encode()))
+    key = lambda r: tuple(str(x) for x in r)
+    assert sorted(((r.record_id, r.record_type, r.target_uri, r.refers_to_id, bytes(r.payload)) for r in got), key=key) == sorted(want, key=key)
